@@ -9,65 +9,62 @@ from pyspark.sql import functions as F
 
 from migratrace import names as N
 from migratrace.functions.columns import lower_text, number, parse_timestamp, col
-from migratrace.operators.rules import DEFAULT_RULES, Rule
+from migratrace.operators.rules import DEFAULT_RULES, Rule, sql_text
 
 
-def _label(system_type, subtype, primary, confidence, source) -> Column:
-    return F.struct(
-        F.lit(system_type).alias("System_Type"),
-        F.lit(subtype).alias("System_Subtype"),
-        F.lit(primary).alias("Primary_System"),
-        F.lit(float(confidence)).alias("label_confidence"),
-        F.lit(source).alias("label_source"),
-    )
+def _case(rules: Sequence[Rule], lowered: dict[str, str], value, otherwise: str) -> str:
+    branches = " ".join(f"WHEN {r.sql_condition(lowered)} THEN {value(i, r)}" for i, r in enumerate(rules))
+    return f"CASE {branches} ELSE {otherwise} END" if rules else otherwise
 
 
-def classify(df: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
+def classify(
+    df: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES, prefix: str = ""
+) -> DataFrame:
     """Add the label columns; the first matching rule wins.
 
-    One narrow projection: the tests form a single CASE chain that yields a
-    rule number, and the labels are read from a constant array at that number.
+    One narrow projection: the tests form a single CASE expression that yields
+    a rule number, and the labels are read from constant arrays at that number.
+    ``prefix`` is that of the mapped columns when they stand beside originals.
     """
     used = sorted(set().union(*[r.columns for r in rules]))
     present = set(df.columns)
-    temp = {c: f"__lower_{i}" for i, c in enumerate(used)}
-    prepared = df.withColumns(
-        {t: lower_text(c) if c in present else F.lit("") for c, t in temp.items()}
-    )
-    lowered = {c: F.col(t) for c, t in temp.items()}
-
-    number_of_rule = F.lit(len(rules) + 1)
-    chain = None
-    for position, rule in enumerate(rules, start=1):
-        condition = rule.condition(lowered)
-        chain = (
-            F.when(condition, F.lit(position)) if chain is None else chain.when(condition, F.lit(position))
-        )
-    number_of_rule = chain.otherwise(number_of_rule) if chain is not None else number_of_rule
-
-    labels = F.array(
-        *[_label(r.system_type, r.subtype, r.primary, r.confidence, r.source) for r in rules],
-        _label(N.UNKNOWN, N.UNKNOWN, N.NO_PRIMARY_SYSTEM, 0.0, "none"),
-    )
-    kept = [c for c in df.columns if c not in N.LABEL_COLUMNS]
-    picked = prepared.select(*[col(c) for c in kept], number_of_rule.alias("__rule"))
-    return picked.select(
-        *[col(c) for c in kept],
+    lowered = {c: f"__lower_{i}" for i, c in enumerate(used)}
+    kept = [col(c) for c in df.columns if c not in N.LABEL_COLUMNS]
+    prepared = df.select(
+        *kept,
         *[
-            F.element_at(labels, F.col("__rule")).getField(f).alias(f)
-            for f in N.LABEL_COLUMNS[:5]
+            (lower_text(prefix + c) if prefix + c in present else F.lit("")).alias(t)
+            for c, t in lowered.items()
         ],
-        F.lit(N.MAPPING_VERSION).alias("mapping_version"),
-        F.lit(False).alias("human_override_flag"),
-        F.lit(False).alias("post_migration_noise"),
     )
+    position = _case(rules, lowered, lambda i, _: str(i), str(len(rules)))
+    picked = prepared.select(*kept, F.expr(position).alias("__rule"))
+
+    def labels(value, default: str) -> str:
+        listed = ", ".join([value(r) for r in rules] + [default])
+        return f"array({listed})[__rule]"
+
+    fixed = {
+        "System_Type": labels(lambda r: sql_text(r.system_type), sql_text(N.UNKNOWN)),
+        "System_Subtype": labels(lambda r: sql_text(r.subtype), sql_text(N.UNKNOWN)),
+        "Primary_System": labels(lambda r: sql_text(r.primary), sql_text(N.NO_PRIMARY_SYSTEM)),
+        "label_confidence": labels(lambda r: f"{r.confidence}D", "0.0D"),
+        "label_source": labels(lambda r: sql_text(r.source), sql_text("none")),
+        "mapping_version": sql_text(N.MAPPING_VERSION),
+        "human_override_flag": "false",
+        "post_migration_noise": "false",
+    }
+    return picked.select(*kept, *[F.expr(e).alias(name) for name, e in fixed.items()])
 
 
 def first_new_system_ticket(df: DataFrame, created: str = N.CREATED, system: str = N.NEW) -> DataFrame:
-    """One row, one column: the earliest creation time among new-system tickets."""
-    return df.where(F.col("System_Type") == system).agg(
-        F.min(parse_timestamp(col(created))).alias("start")
-    )
+    """One row, one column: the earliest creation time among new-system tickets.
+
+    A conditional minimum rather than a filter: pushed below the classification,
+    the filter would make every ticket go through the rules twice.
+    """
+    ts = parse_timestamp(col(created))
+    return df.agg(F.min(F.when(F.col("System_Type") == system, ts)).alias("start"))
 
 
 def noise_condition(start: Column, created: str = N.CREATED, reopens: str = N.REOPENS, days: int = 90) -> Column:

@@ -77,11 +77,12 @@ def resolution_notes(close_notes: Column, comments: Column) -> Column:
 def migration_dates(
     df: DataFrame, module: str = "Module", created: str = "Created_Date", system: str = N.NEW
 ) -> DataFrame:
-    """First new-system ticket per module: one pass, one row per module."""
+    """First new-system ticket per module: one pass, one row per module with such tickets."""
+    new_only = F.when(F.col("System_Type") == system, col(created))
     return (
-        df.where((F.col("System_Type") == system) & col(created).isNotNull())
-        .groupBy(col(module).alias("Module"))
-        .agg(F.min(col(created)).alias("Migration_Date"))
+        df.groupBy(col(module).alias("Module"))
+        .agg(F.min(new_only).alias("Migration_Date"))
+        .where(F.col("Migration_Date").isNotNull())
     )
 
 

@@ -8,23 +8,22 @@ made on lowercase text, with null read as empty.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column
 
 from migratrace.names import BOTH, CI, GROUP, LEGACY, NEW, NO_PRIMARY_SYSTEM, OFFERING, SERVICE, SHORT
 
 
+def sql_text(value: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Contains:
     column: str
     text: str
 
-    def test(self, lowered: dict[str, Column]) -> Column:
-        return lowered[self.column].contains(self.text)
-
     def sql(self, lowered: dict[str, str]) -> str:
-        return f"contains({lowered[self.column]}, '{self.text}')"
+        return f"contains({lowered[self.column]}, {sql_text(self.text)})"
 
 
 @dataclass(frozen=True)
@@ -32,11 +31,8 @@ class Equals:
     column: str
     text: str
 
-    def test(self, lowered: dict[str, Column]) -> Column:
-        return lowered[self.column] == self.text
-
     def sql(self, lowered: dict[str, str]) -> str:
-        return f"{lowered[self.column]} = '{self.text}'"
+        return f"{lowered[self.column]} = {sql_text(self.text)}"
 
 
 Test = Contains | Equals
@@ -55,14 +51,8 @@ class Rule:
     def columns(self) -> set[str]:
         return {t.column for alternative in self.alternatives for t in alternative}
 
-    def condition(self, lowered: dict[str, Column]) -> Column:
-        alternatives = [
-            reduce(lambda a, b: a & b, [t.test(lowered) for t in alternative])
-            for alternative in self.alternatives
-        ]
-        return reduce(lambda a, b: a | b, alternatives)
-
     def sql_condition(self, lowered: dict[str, str]) -> str:
+        """The rule as a SQL condition over expressions for its lowercase columns."""
         return " OR ".join(
             "(" + " AND ".join(t.sql(lowered) for t in alternative) + ")"
             for alternative in self.alternatives

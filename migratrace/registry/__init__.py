@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from migratrace.registry import q_classify, q_normalize
+from migratrace.registry import q_classify, q_metrics, q_normalize
 
-MODULES = (q_classify, q_normalize)
+MODULES = (q_classify, q_normalize, q_metrics)
 
 
 def all_queries() -> dict:

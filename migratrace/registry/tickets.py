@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from migratrace import names as N
 from migratrace.operators.classify import classify, flag_migration_noise
 from migratrace.operators.normalize import normalize
-from migratrace.operators.rules import DEFAULT_RULES
+from migratrace.operators.rules import DEFAULT_RULES, sql_text
+from migratrace.session import materialize
 
 # Values per routing column; the list lengths (with empties) share no factor.
 CI_VALUES = (
@@ -55,8 +56,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _pick(values: tuple[str, ...], length: int, key: Column) -> Column:
     """The value at ``key mod length``; null beyond the list."""
-    index = F.pmod(key, F.lit(length)).cast("int") + 1
-    return F.get(F.array(*[F.lit(v) for v in values]), index - 1)
+    listed = ", ".join(sql_text(v) for v in values)
+    return F.get(F.expr(f"array({listed})"), F.pmod(key, F.lit(length)).cast("int"))
 
 
 def _pick_sql(values: tuple[str, ...], length: int, key: str) -> str:
@@ -131,6 +132,17 @@ def classified_tickets(spark: SparkSession, folder: str, texts: bool = False) ->
     return flag_migration_noise(classify(raw_tickets(spark, folder, texts)))
 
 
+_STAGES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stage(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
+    """A stage table, written once per application: later steps read files, not lineage."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _STAGES:
+        _STAGES[key] = materialize(build(), name)
+    return _STAGES[key]
+
+
 def canonical_tickets(spark: SparkSession, folder: str, texts: bool = False) -> DataFrame:
     return normalize(classified_tickets(spark, folder, texts))
 
@@ -155,10 +167,14 @@ def assign_cluster(system: Column, key: Column) -> Column:
 
 
 def clustered_tickets(spark: SparkSession, folder: str, texts: bool = False) -> DataFrame:
-    """Canonical tickets with a given cluster and, for reports, varying reopen flags."""
-    return canonical_tickets(spark, folder, texts).withColumn(
-        "Cluster_ID", assign_cluster(F.col("System_Type"), ticket_number(F.col("Ticket_ID")))
-    )
+    """Canonical tickets with a given cluster, as the stage table that reports read."""
+
+    def build() -> DataFrame:
+        return canonical_tickets(spark, folder, texts).withColumn(
+            "Cluster_ID", assign_cluster(F.col("System_Type"), ticket_number(F.col("Ticket_ID")))
+        )
+
+    return stage(spark, folder, "clustered-texts" if texts else "clustered", build)
 
 
 def label_catalog(clustered: DataFrame) -> DataFrame:
