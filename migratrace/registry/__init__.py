@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from migratrace.registry import q_classify, q_metrics, q_normalize
+from migratrace.registry import q_classify, q_metrics, q_normalize, q_profile, q_reports
 
-MODULES = (q_classify, q_normalize, q_metrics)
+MODULES = (q_classify, q_normalize, q_metrics, q_reports, q_profile)
 
 
 def all_queries() -> dict:
