@@ -78,17 +78,18 @@ def alpha_tokens(c: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     return _without(F.regexp_extract_all(text_or_empty(c), F.lit(ALPHA_TOKEN), F.lit(0)), stop_words)
 
 
-def terms(c: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """Lowercase words of two or more characters and the pairs of neighbours among them."""
-    words = _without(F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(TERM_TOKEN), F.lit(0)), stop_words)
-    return with_pairs(words)
+def words(c: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """Lowercase words of two or more characters that are no stop words, in order."""
+    return _without(F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(TERM_TOKEN), F.lit(0)), stop_words)
 
 
-def with_pairs(words: Column) -> Column:
+def with_pairs(found: Column) -> Column:
+    """The words and the pairs of neighbours.  ``found`` occurs several times in
+    the result, so it should be a column that holds the words already."""
     pairs = F.zip_with(
-        words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)
+        found, F.slice(found, 2, F.greatest(F.size(found), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)
     )
-    return F.concat(words, F.filter(pairs, lambda p: p.isNotNull()))
+    return F.concat(found, F.filter(pairs, lambda p: p.isNotNull()))
 
 
 def stop_list_sql(stop_words: Sequence[str] = STOP_WORDS) -> str:
