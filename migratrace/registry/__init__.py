@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from migratrace.registry import q_catalog, q_classify, q_density, q_metrics, q_normalize, q_profile, q_reports, q_text
+from migratrace.registry import q_catalog, q_classify, q_density, q_generate, q_metrics, q_normalize, q_profile, q_reports, q_retrieve, q_text
 
-MODULES = (q_classify, q_normalize, q_text, q_catalog, q_density, q_metrics, q_reports, q_profile)
+MODULES = (q_classify, q_normalize, q_text, q_catalog, q_density, q_generate, q_metrics, q_reports, q_generate, q_retrieve, q_profile)
 
 
 def all_queries() -> dict:
