@@ -98,7 +98,7 @@ WITH q AS (SELECT item_id, text, {_letters_sql("text")} AS e FROM benchmark),
 d AS (SELECT doc_id, text, source, lang, {_letters_sql("text")} AS e FROM documents),
 hits AS (
   SELECT item_id, doc_id, s, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, doc_id) AS rank
-  FROM (SELECT item_id, doc_id, round_even(list_cosine_similarity(q.e, d.e) * 1e12, 0) / 1e12 AS s FROM q, d) QUALIFY rank <= 5
+  FROM (SELECT item_id, doc_id, coalesce(round_even(nullif(list_cosine_similarity(q.e, d.e), 'nan'::DOUBLE) * 1e12, 0) / 1e12, 0) AS s FROM q, d) QUALIFY rank <= 5
 ),
 context AS (
   SELECT item_id, string_agg('--- Ticket ' || rank || ' (Similarity: ' || printf('%.2f', round_even(s * 100, 0) / 100) || ') ---

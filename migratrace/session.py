@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,3 +38,22 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     path = f"{shared_folder(spark)}/migratrace/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the application.
+
+    For sessions that were not started with the package among their Python
+    files; done once per application.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="migratrace-package-"), os.path.basename(package))
+    root, name = os.path.split(package)
+    context.addPyFile(shutil.make_archive(archive, "zip", root, name))
+    _SHIPPED.add(context.applicationId)
