@@ -14,6 +14,7 @@ from migratrace.registry import (
     q_profile,
     q_reports,
     q_retrieve,
+    q_sources,
     q_text,
 )
 from migratrace.session import ship_package
@@ -29,6 +30,7 @@ MODULES = (
     q_generate,
     q_retrieve,
     q_profile,
+    q_sources,
 )
 
 
