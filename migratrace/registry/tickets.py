@@ -144,7 +144,9 @@ def stage(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
 
 
 def canonical_tickets(spark: SparkSession, folder: str, texts: bool = False) -> DataFrame:
-    return normalize(classified_tickets(spark, folder, texts))
+    """Canonical tickets, normalized from the classified stage table."""
+    name = "classified-texts" if texts else "classified"
+    return normalize(stage(spark, folder, name, lambda: classified_tickets(spark, folder, texts)))
 
 
 def ticket_number(ticket_id: Column) -> Column:
