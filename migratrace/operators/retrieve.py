@@ -95,8 +95,14 @@ def _lifted(df: DataFrame, is_query: bool) -> DataFrame:
 
 
 def _blocked(queries: DataFrame, corpus: DataFrame, k: int, per_block: int, max_cells: int) -> DataFrame:
-    """Both sides in bounded blocks; only blocks that can hold a neighbour meet."""
-    points, asked = materialize(_lifted(corpus, False), "corpus"), materialize(_lifted(queries, True), "queries")
+    """Both sides in bounded blocks; only blocks that can hold a neighbour meet.
+
+    Of equal vectors only the k smallest ids can be among the k nearest, so no
+    query meets more copies than that.
+    """
+    among_copies = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
+    first_copies = _lifted(corpus, False).withColumn("__copy", among_copies).where(F.col("__copy") <= k).drop("__copy")
+    points, asked = materialize(first_copies, "corpus"), materialize(_lifted(queries, True), "queries")
     pivot_ids, pivots = choose_pivots(points, points.count(), max_cells, per_block)
     points, cells = describe_cells(to_cells(points, pivots), pivots, pivot_ids, per_block)
     asked, asked_cells = describe_cells(to_cells(asked, pivots), pivots, pivot_ids, per_block)

@@ -8,6 +8,7 @@ from migratrace.functions.columns import half_even
 from migratrace.operators.density import (
     blocked_points,
     cluster_params,
+    count_copies,
     density_clusters,
     density_cut,
     vector_points,
@@ -15,7 +16,6 @@ from migratrace.operators.density import (
 )
 from migratrace.operators.spanning import candidate_edges, spanning_tree
 from migratrace.registry.tickets import table
-from migratrace.session import materialize
 
 _SAMPLES = 4
 _EPS = 1.17
@@ -23,8 +23,8 @@ _MIN_SIZE = 12
 
 
 def _cored(spark, folder):
-    points = materialize(vector_points(table(spark, folder, "embeddings"), "vec_id", "embedding"), "points")
-    placed, cells = blocked_points(points, points.count())
+    distinct, _ = count_copies(vector_points(table(spark, folder, "embeddings"), "vec_id", "embedding"))
+    placed, cells = blocked_points(distinct, distinct.count())
     return with_core(placed, cells, _SAMPLES), cells
 
 
