@@ -33,7 +33,10 @@ def parse_timestamp(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 
 def number(c: Column) -> Column:
-    return F.trim(c.cast("string")).try_cast("double")
+    """The number in a text, or null; a literal suffix such as ``1d`` or NaN is none."""
+    text = F.trim(c.cast("string"))
+    value = F.when(~text.rlike("[dDfF]$"), text).try_cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def half_even(c: Column, digits: int) -> Column:

@@ -48,13 +48,15 @@ def value_counts(df: DataFrame, columns: Sequence[str], top: int | None = None)
 
 
 def id_prefixes(df: DataFrame, number: str = N.NUMBER) -> DataFrame:
-    """Count and range of trailing numbers per leading letters of the ticket number."""
-    text = col(number).cast("string")
-    prefix = F.nullif(F.regexp_extract(text, "^([A-Z]+)", 1), F.lit(""))
-    digits = F.nullif(F.regexp_extract(text, "([0-9]+)$", 1), F.lit("")).try_cast("bigint")
-    return df.groupBy(prefix.alias("num_prefix")).agg(
-        F.count(F.lit(1)).alias("count"), F.min(digits).alias("min_number"), F.max(digits).alias("max_number")
-    )
+    """How often each run of leading capitals begins a ticket number."""
+    prefix = F.nullif(F.regexp_extract(col(number).cast("string"), "^([A-Z]+)", 1), F.lit(""))
+    return value_counts(df.select(prefix.alias("num_prefix")), ["num_prefix"])
+
+
+def number_range(df: DataFrame, number: str = N.NUMBER) -> DataFrame:
+    """Smallest and largest number at the end of a ticket number."""
+    digits = F.nullif(F.regexp_extract(col(number).cast("string"), "([0-9]+)$", 1), F.lit("")).try_cast("bigint")
+    return df.agg(F.min(digits).alias("min_number"), F.max(digits).alias("max_number"))
 
 
 def ownership(df: DataFrame, pattern: str = OWNERSHIP_PATTERN, top: int = 20) -> DataFrame:

@@ -132,6 +132,8 @@ def top_k_similar(
     """
     asked = materialize(_vectors(queries, query_key, query_vector or vector), "queries")
     corpus = _vectors(tickets, key, vector)
+    if corpus.limit(1).count() == 0:
+        raise ValueError("no ticket has a vector")
     values = asked.agg(F.coalesce(F.sum(F.size("vec")), F.lit(0)).alias("n")).first()["n"]
     found = _shipped(asked, corpus, k) if 0 < values <= shipped_values else _blocked(asked, corpus, k, per_block, max_cells)
     return found.select(F.col("query").alias(query_key), F.col("other").alias(key), "Similarity", F.col("Rank").cast("int").alias("Rank"))

@@ -67,7 +67,7 @@ def generated_json_parse(spark, folder):
 
 
 def cluster_lines(spark, folder):
-    return G.cluster_lines(label_catalog(clustered_tickets(spark, folder)))
+    return G.cluster_lines(label_catalog(clustered_tickets(spark, folder))).drop("Place")
 
 
 def summary_prompt(spark, folder):
@@ -189,7 +189,7 @@ SQL = {
         (SELECT string_agg('System_Type=' || "System_Type" || ' Severity=' || "Severity" || ' Count=' || n, chr(10) ORDER BY "System_Type", "Severity")
           FROM (SELECT "System_Type", "Severity", count(*) AS n FROM clustered GROUP BY 1, 2)),
         chr(10) || 'Recurring patterns',
-        (SELECT string_agg({_LINE}, chr(10) ORDER BY "Cluster_ID") FROM catalog)) AS "Prompt" """,
+        (SELECT string_agg({_LINE}, chr(10) ORDER BY "Business_Priority" DESC, "Size" DESC, "Cluster_ID") FROM catalog)) AS "Prompt" """,
     ),
     "summary_parse": """SELECT n_nationkey,
         CASE n_nationkey % 3 WHEN 0 THEN 'About ' || n_name WHEN 1 THEN 'Executive summary generation returned invalid JSON.'

@@ -20,6 +20,7 @@ def _over_raw(check):
 
 QUERIES = {
     "profile_id_prefix": _over_raw(P.id_prefixes),
+    "profile_number_range": _over_raw(P.number_range),
     "profile_ownership": _over_raw(P.ownership),
     "profile_group_tuples": _over_raw(P.group_tuples),
     "profile_text_signature": _over_raw(P.text_signature),
@@ -51,9 +52,12 @@ OR coalesce(regexp_matches("Assignment group", 'integration|middleware|digital i
 SQL = {
     "profile_id_prefix": with_views(
         "raw",
-        """SELECT regexp_extract("Number", '^([A-Z]+)', 1) AS num_prefix, count(*) AS "count",
-        min(CAST(regexp_extract("Number", '([0-9]+)$', 1) AS BIGINT)) AS min_number,
-        max(CAST(regexp_extract("Number", '([0-9]+)$', 1) AS BIGINT)) AS max_number FROM raw GROUP BY 1""",
+        """SELECT regexp_extract("Number", '^([A-Z]+)', 1) AS num_prefix, count(*) AS "count" FROM raw GROUP BY 1""",
+    ),
+    "profile_number_range": with_views(
+        "raw",
+        """SELECT min(CAST(regexp_extract("Number", '([0-9]+)$', 1) AS BIGINT)) AS min_number,
+        max(CAST(regexp_extract("Number", '([0-9]+)$', 1) AS BIGINT)) AS max_number FROM raw""",
     ),
     "profile_ownership": _counts(
         "regexp_matches(\"Configuration item\", 'omni', 'i')", [N.CI, N.GROUP, N.OFFERING, N.SERVICE], 20

@@ -26,6 +26,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def own_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/migratrace/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once their results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -35,7 +46,7 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     join with the table is done.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/migratrace/{label}-{uuid.uuid4().hex}"
+    path = f"{own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

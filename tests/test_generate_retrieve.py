@@ -84,6 +84,9 @@ def test_top_k_against_brute_force(spark, options):
 def test_missing_column_is_an_error(spark):
     with pytest.raises(ValueError, match="vectorized"):
         top_k_similar(spark.range(1), spark.range(1), query_key="id", key="id")
+    none = spark.createDataFrame([(1, None)], "id int, Embedding array<double>")
+    with pytest.raises(ValueError, match="no ticket"):
+        top_k_similar(none, none, query_key="id", key="id")
 
 
 def test_prompts_and_answers(spark):

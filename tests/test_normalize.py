@@ -3,6 +3,7 @@ from datetime import datetime as D
 from pyspark.sql import functions as F
 
 from migratrace import names as N
+from migratrace.functions.columns import number
 from migratrace.operators.normalize import normalize, with_days_from_migration, with_severity
 
 RAW = (
@@ -60,6 +61,12 @@ def test_days_use_the_module_date_then_the_global_one(spark):
     assert list(got[(m, t)] for m, _, t in rows) == [0, 0, 2, 0, -1, 2, 1]
 
 
+def test_numbers(spark):
+    values = [" 2 ", "1e1", "1d", "nan", "x", None, "-3.5"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, c string")
+    assert [r[0] for r in df.orderBy("i").select(number(F.col("c"))).collect()] == [2.0, 10.0, None, None, None, None, -3.5]
+
+
 def test_no_new_system_means_no_days(spark):
     df = spark.createDataFrame([("Legacy-X", "Legacy", "2024-01-01")], "Module string, System_Type string, t string").withColumn(
         "Created_Date", F.col("t").cast("timestamp_ntz")
