@@ -1,4 +1,4 @@
-"""Exact medians without gathering a group in one task."""
+"""Exact means and medians without gathering a group in one task."""
 
 from __future__ import annotations
 
@@ -9,15 +9,16 @@ from migratrace.session import materialize
 
 
 def exact_median(df: DataFrame, group: str, value: str, width: float = 1.0) -> DataFrame:
-    """Exact median of ``value`` per group: columns ``group``, ``median``, ``n``.
+    """Mean, exact median and number of values per group: ``mean``, ``median``, ``n``.
 
     Values are first counted per distinct value (combined before the shuffle).
     Cumulative counts over slots of the given width find the slot of the middle
     ranks; only the distinct values inside those slots are then ordered.  A group
-    of any size or skew is thus reduced by aggregation, never sorted as a whole.
+    of any size or skew is thus reduced by aggregation, never sorted as a whole,
+    and the table is scanned once.  A group without any value has nulls and 0.
     """
     counts = materialize(
-        df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+        df.where(F.col(group).isNotNull())
         .groupBy(F.col(group).alias("g"), F.col(value).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("slot", F.floor(F.col("v") / F.lit(width))),
@@ -25,7 +26,7 @@ def exact_median(df: DataFrame, group: str, value: str, width: float = 1.0) -> D
     )
     by_slot = Window.partitionBy("g").orderBy("slot")
     slots = (
-        counts.groupBy("g", "slot")
+        counts.where(F.col("v").isNotNull()).groupBy("g", "slot")
         .agg(F.sum("n").alias("n"))
         .withColumn("before", F.sum("n").over(by_slot.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("before", F.coalesce("before", F.lit(0)))
@@ -49,6 +50,11 @@ def exact_median(df: DataFrame, group: str, value: str, width: float = 1.0) -> D
     def at(rank: str):
         return F.max(F.when((F.col("from") < F.col(rank)) & (F.col("upto") >= F.col(rank)), F.col("v")))
 
-    return placed.groupBy(F.col("g").alias(group)).agg(
-        ((at("low") + at("high")) / 2).alias("median"), F.first("total").alias("n")
+    medians = placed.groupBy("g").agg(((at("low") + at("high")) / 2).alias("median"))
+    present = F.col("v").isNotNull()
+    totals = counts.groupBy("g").agg(
+        F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("n"), F.sum(F.col("v") * F.col("n")).alias("sum")
+    )
+    return totals.join(medians, "g", "left").select(
+        F.col("g").alias(group), F.try_divide("sum", F.col("n")).alias("mean"), "median", "n"
     )

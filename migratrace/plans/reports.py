@@ -21,6 +21,7 @@ from migratrace.functions.columns import (
 )
 from migratrace.operators.metrics import count_pivot
 from migratrace.operators.quantiles import exact_median
+from migratrace.session import materialize
 
 # ---- fixed values: labels --------------------------------------------------
 # Severity 4 is the most severe (priority 1), so it gets the critical label.
@@ -207,14 +208,13 @@ def reopened_details(tickets: DataFrame, top: int = TOP_REOPENED_TICKETS) -> Dat
 
 def mttr_by_system(tickets: DataFrame) -> DataFrame:
     """Mean and exact median hours to resolve, per system that has tickets."""
-    two = of_two_systems(tickets)
-    means = two.groupBy("System_Type").agg(
-        F.avg("Time_to_Resolve").alias("Mean_Hours"), F.count("Time_to_Resolve").alias("Resolved_Tickets")
+    summary = exact_median(of_two_systems(tickets), "System_Type", "Time_to_Resolve").select(
+        "System_Type",
+        F.col("mean").alias("Mean_Hours"),
+        F.col("n").alias("Resolved_Tickets"),
+        F.col("median").alias("Median_Hours"),
     )
-    medians = exact_median(two, "System_Type", "Time_to_Resolve").select(
-        "System_Type", F.col("median").alias("Median_Hours")
-    )
-    return means.join(medians, "System_Type", "left").withColumns(
+    return summary.withColumns(
         {"MTTR": hours_text(F.col("Mean_Hours")), "Median_MTTR": hours_text(F.col("Median_Hours"))}
     )
 
@@ -238,7 +238,9 @@ def opco_heatmap(
     tickets: DataFrame, catalog: DataFrame, patterns: int = TOP_PATTERNS, opcos: int = TOP_OPCOS
 ) -> DataFrame:
     """Counts of the most frequent patterns in the busiest OpCos, zeros included, in long form."""
-    counts = _opco_counts(tickets, catalog).groupBy("Pattern", "OpCo").agg(F.sum("ids").alias("Count"))
+    counts = materialize(
+        _opco_counts(tickets, catalog).groupBy("Pattern", "OpCo").agg(F.sum("ids").alias("Count")), "opco-counts"
+    )
     total = F.sum("Count").alias("total")
     top_opcos = [
         r["OpCo"] for r in counts.groupBy("OpCo").agg(total).orderBy(F.desc("total"), "OpCo").limit(opcos).collect()

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from migratrace.functions.columns import hours_text, signed_percent, year_month
@@ -108,8 +109,8 @@ def test_exact_median(spark):
     rng = random.Random(4)
     groups = {"a": [rng.choice([0.1, 0.1, 5.5, 100.25]) for _ in range(101)], "b": [1.0, 2.0, 4.0, 100.0], "c": [7.0]}
     rows = [(g, v) for g, vs in groups.items() for v in vs] + [("a", None), ("d", None)]
-    got = {r["g"]: (r["median"], r["n"]) for r in exact_median(spark.createDataFrame(rows, "g string, v double"), "g", "v").collect()}
-    assert got == {g: (float(np.median(vs)), len(vs)) for g, vs in groups.items()}
+    got = {r["g"]: (r["median"], r["n"], r["mean"]) for r in exact_median(spark.createDataFrame(rows, "g string, v double"), "g", "v").collect()}
+    assert got == {"d": (None, 0, None)} | {g: (float(np.median(vs)), len(vs), pytest.approx(np.mean(vs))) for g, vs in groups.items()}
 
 
 def test_embedding_hooks(spark):
