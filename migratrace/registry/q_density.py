@@ -29,7 +29,7 @@ def _cored(spark, folder):
 
 
 def adaptive_parameters(spark, folder):
-    """The parameters that the row count of every table kind would give."""
+    """The parameters that follow from the number of vectors."""
     rows = table(spark, folder, "embeddings").count()
     size, samples = cluster_params(rows)
     return table(spark, folder, "embeddings").groupBy().agg(

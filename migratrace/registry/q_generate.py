@@ -76,8 +76,8 @@ def summary_prompt(spark, folder):
 
 
 def _summaries(spark, folder):
-    """One reply per nation: a summary, prose, or a failed call."""
-    nation, name = F.col("n_nationkey"), F.col("n_name")
+    """One reply per customer: a summary, prose, or a failed call."""
+    key, name = F.col("c_custkey"), F.col("c_name")
     absent = F.lit(None).cast("string")
 
     def finding(title, detail, impact):
@@ -89,12 +89,12 @@ def _summaries(spark, folder):
             F.array(finding(name, absent, "high"), finding(absent, F.lit("d"), "huge")).alias("key_findings"),
             F.array(F.struct(name.alias("pattern"))).alias("shift_left_opportunities"),
             F.lit("MIXED_RESULTS").alias("legacy_to_dbb_verdict"),
-            F.array(F.struct(name.alias("domain"), nation.alias("legacy_tickets"), F.lit("new_in_dbb").alias("verdict"))).alias("domain_health"),
+            F.array(F.struct(name.alias("domain"), F.col("c_nationkey").alias("legacy_tickets"), F.lit("new_in_dbb").alias("verdict"))).alias("domain_health"),
         )
     )
-    kind = F.pmod(nation, F.lit(3))
-    return table(spark, folder, "nation").select(
-        "n_nationkey",
+    kind = F.pmod(key, F.lit(3))
+    return table(spark, folder, "customer").select(
+        "c_custkey",
         F.when(kind == 0, body).when(kind == 1, F.lit("sorry")).alias("Reply"),
         F.when(kind == 2, F.lit("timeout")).alias("Error"),
     )
@@ -102,7 +102,7 @@ def _summaries(spark, folder):
 
 def summary_parse(spark, folder):
     return G.parse_summary(_summaries(spark, folder)).select(
-        "n_nationkey", "executive_narrative", "legacy_to_dbb_verdict",
+        "c_custkey", "executive_narrative", "legacy_to_dbb_verdict",
         F.size("key_findings").alias("findings"), F.size("domain_health").alias("domains"),
     )
 
@@ -191,16 +191,16 @@ SQL = {
         chr(10) || 'Recurring patterns',
         (SELECT string_agg({_LINE}, chr(10) ORDER BY "Business_Priority" DESC, "Size" DESC, "Cluster_ID") FROM catalog)) AS "Prompt" """,
     ),
-    "summary_parse": """SELECT n_nationkey,
-        CASE n_nationkey % 3 WHEN 0 THEN 'About ' || n_name WHEN 1 THEN 'Executive summary generation returned invalid JSON.'
+    "summary_parse": """SELECT c_custkey,
+        CASE c_custkey % 3 WHEN 0 THEN 'About ' || c_name WHEN 1 THEN 'Executive summary generation returned invalid JSON.'
           ELSE 'Executive summary not generated - API call failed.' END AS executive_narrative,
-        CASE n_nationkey % 3 WHEN 0 THEN 'MIXED_RESULTS' ELSE 'INSUFFICIENT_DATA' END AS legacy_to_dbb_verdict,
-        CAST(CASE n_nationkey % 3 WHEN 0 THEN 2 ELSE 0 END AS INTEGER) AS findings,
-        CAST(CASE n_nationkey % 3 WHEN 0 THEN 1 ELSE 0 END AS INTEGER) AS domains FROM nation""",
-    "key_findings": """SELECT n_nationkey, 0::INTEGER AS "Position", n_name AS title, '' AS detail, 'High' AS impact FROM nation WHERE n_nationkey % 3 = 0
-        UNION ALL SELECT n_nationkey, 1::INTEGER, '', 'd', 'Unknown' FROM nation WHERE n_nationkey % 3 = 0""",
-    "shift_left": """SELECT n_nationkey, 0::INTEGER AS "Position", n_name AS pattern, '' AS strategy, '?' AS estimated_reduction
-        FROM nation WHERE n_nationkey % 3 = 0""",
-    "domain_health": """SELECT n_nationkey, 0::INTEGER AS "Position", n_name AS domain, n_nationkey AS legacy_tickets,
-        CAST(NULL AS INTEGER) AS dbb_tickets, 'New in DBB' AS verdict FROM nation WHERE n_nationkey % 3 = 0""",
+        CASE c_custkey % 3 WHEN 0 THEN 'MIXED_RESULTS' ELSE 'INSUFFICIENT_DATA' END AS legacy_to_dbb_verdict,
+        CAST(CASE c_custkey % 3 WHEN 0 THEN 2 ELSE 0 END AS INTEGER) AS findings,
+        CAST(CASE c_custkey % 3 WHEN 0 THEN 1 ELSE 0 END AS INTEGER) AS domains FROM customer""",
+    "key_findings": """SELECT c_custkey, 0::INTEGER AS "Position", c_name AS title, '' AS detail, 'High' AS impact FROM customer WHERE c_custkey % 3 = 0
+        UNION ALL SELECT c_custkey, 1::INTEGER, '', 'd', 'Unknown' FROM customer WHERE c_custkey % 3 = 0""",
+    "shift_left": """SELECT c_custkey, 0::INTEGER AS "Position", c_name AS pattern, '' AS strategy, '?' AS estimated_reduction
+        FROM customer WHERE c_custkey % 3 = 0""",
+    "domain_health": """SELECT c_custkey, 0::INTEGER AS "Position", c_name AS domain, c_nationkey AS legacy_tickets,
+        CAST(NULL AS INTEGER) AS dbb_tickets, 'New in DBB' AS verdict FROM customer WHERE c_custkey % 3 = 0""",
 }

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from migratrace.functions.columns import half_even
 from migratrace.operators.embed import embed
-from migratrace.operators.retrieve import resolution_prompts, resolve_tickets, retrieve_tickets, top_k_similar
+from migratrace.operators.retrieve import (
+    ANSWER_TASK,
+    resolution_prompts,
+    resolve_tickets,
+    retrieve_tickets,
+    top_k_similar,
+)
 from migratrace.registry.tickets import table
 from migratrace.session import materialize
 
@@ -90,10 +96,7 @@ def _letters_sql(c: str) -> str:
     return "[" + ", ".join(f"(length({c}) - length(replace({c}, '{x}', '')))::DOUBLE" for x in _LETTERS) + "]"
 
 
-SQL = {
-    "similar_topk": _TOPK,
-    "similar_topk_blocked": _TOPK,
-    "resolution_prompt": f"""
+_CONTEXT = f"""
 WITH q AS (SELECT item_id, text, {_letters_sql("text")} AS e FROM benchmark),
 d AS (SELECT doc_id, text, source, lang, {_letters_sql("text")} AS e FROM documents),
 hits AS (
@@ -107,11 +110,26 @@ Resolution Notes: ' || 'Handled in ' || lang, '
 
 ' ORDER BY rank) AS context FROM hits JOIN d USING (doc_id) GROUP BY 1
 )
-SELECT item_id AS "Query_ID", md5('Solve.
+"""
+
+
+def _prompt_sql(task: str) -> str:
+    quoted = task.replace("'", "''")
+    return f"""'{quoted}
 New ticket:
 "' || text || '"
 
 Past tickets:
 ' || context || '
-') AS "Prompt_Hash" FROM q JOIN context USING (item_id)""",
+'"""
+
+
+SQL = {
+    "similar_topk": _TOPK,
+    "similar_topk_blocked": _TOPK,
+    "resolution_prompt": f"""{_CONTEXT} SELECT item_id AS "Query_ID", md5({_prompt_sql("Solve.")}) AS "Prompt_Hash"
+FROM q JOIN context USING (item_id)""",
+    "resolve_tickets": f"""{_CONTEXT} SELECT item_id AS "Query_ID",
+length({_prompt_sql(ANSWER_TASK)}) || ' characters, at most 500 tokens' AS "Reply", CAST(NULL AS VARCHAR) AS "Error"
+FROM q JOIN context USING (item_id)""",
 }
