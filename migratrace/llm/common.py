@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYT
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + n > size:
