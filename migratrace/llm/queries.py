@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from migratrace.llm.common import new_folder, table
 from migratrace.llm.counts import token_counts
+from migratrace.llm.line_dedup import keep_bitmaps, line_report
 from migratrace.llm.pieces import encode_documents
+from migratrace.llm.quality_rules import quality_cascade
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -29,13 +31,74 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_cascade(table(spark, folder, "documents")).drop("rejected_by")
+
+
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return line_report(docs, keep_bitmaps(docs))
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     encoded = encode_documents(table(spark, folder, "documents"), model_bytes(), outputs=False)
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered")
 
 
+_BLANK = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x20\x09-\x0D]"
+
+_OP5_SQL = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l
+  FROM documents
+), g AS (
+  SELECT doc_id, i, list_slice(w, i, i + 7) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 7, 0) + 1)) AS i FROM t)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id
+), tops AS (
+  SELECT doc_id, max(c) AS top, count(*) AS different
+  FROM (SELECT doc_id, x, count(*) AS c FROM (SELECT doc_id, unnest(w) AS x FROM t) GROUP BY doc_id, x) GROUP BY doc_id
+), f AS (
+  SELECT t.doc_id, len(w) AS n_words, length(regexp_replace(text, '{_BLANK}', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS lines,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_n, length(regexp_replace(text, '[^a-z]', '', 'g')) AS lower_n,
+         length(regexp_replace(text, '\P{{L}}', '', 'g')) AS letters, top, different
+  FROM t LEFT JOIN covered USING (doc_id) LEFT JOIN tops USING (doc_id)
+), b AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 12 * n_words
+            OR 100 * n_dup_lines > 40 * lines OR 100 * upper_n > 30 * (upper_n + lower_n) OR 100 * letters < 50 * word_chars
+            OR 100 * different < 20 * n_words OR 100 * top > 30 * n_words) AS kept
+FROM b
+"""
+
+_OP7_SQL = rf"""
+WITH l AS (
+  SELECT doc_id, pos, lines[pos] AS line,
+         translate(regexp_replace(lines[pos], '^{_BLANK}+|{_BLANK}+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), shared AS (
+  SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN shared USING (k) GROUP BY doc_id
+"""
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL}
