@@ -10,6 +10,7 @@ from migratrace.llm.counts import token_counts
 from migratrace.llm.line_dedup import keep_bitmaps, line_report
 from migratrace.llm.pieces import encode_documents
 from migratrace.llm.quality_rules import quality_cascade
+from migratrace.llm.set_join import jaccard_components
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -26,6 +27,10 @@ def model_bytes() -> bytes:
         return f.read()
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts(table(spark, folder, "documents"), model_path(), new_folder(spark, "token-counts"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -48,6 +53,26 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
 
+_OP2_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM w
+), e AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b USING (g)
+  WHERE a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id, doc_id AS other FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a
+)
+SELECT doc_id, len(s) AS n_shingles, (SELECT min(other) FROM r WHERE r.doc_id = s.doc_id) AS component_id FROM s
+"""
+
 _OP5_SQL = rf"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w,
@@ -96,9 +121,10 @@ FROM l LEFT JOIN shared USING (k) GROUP BY doc_id
 """
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
 }
-SQL: dict[str, str] = {"op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL}
+SQL: dict[str, str] = {"op2_jaccard_join": _OP2_SQL, "op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL}
