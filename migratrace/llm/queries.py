@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from migratrace.llm.common import new_folder, table
 from migratrace.llm.counts import token_counts
+from migratrace.llm.lang_id import fit_language_model, identify
 from migratrace.llm.line_dedup import keep_bitmaps, line_report
 from migratrace.llm.pieces import encode_documents
 from migratrace.llm.quality_rules import quality_cascade
 from migratrace.llm.set_join import jaccard_components
+from migratrace.llm.topk import top_inner_products
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -50,6 +52,19 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered")
 
 
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = fit_language_model(docs.where(~held_out))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return top_inner_products(vectors.where(F.col("vec_id") % 50 == 0), vectors)
+
+
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -120,11 +135,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (keeper <> doc_id) AS n_drop
 FROM l LEFT JOIN shared USING (k) GROUP BY doc_id
 """
 
+_OP10_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_language_id": op9_language_id,
+    "op10_topk": op10_topk,
 }
-SQL: dict[str, str] = {"op2_jaccard_join": _OP2_SQL, "op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL}
+SQL: dict[str, str] = {"op2_jaccard_join": _OP2_SQL, "op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL, "op10_topk": _OP10_SQL}
