@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from migratrace.llm.common import slices
 from migratrace.llm.pieces import codec_of
-from migratrace.session import ship_package
+from migratrace.session import materialize, ship_package
 
 CACHE = "content binary, tokenizer string, n_tokens long"
 
@@ -85,7 +85,8 @@ def token_counts(
     missing = contents.join(stored.select("content"), "content", "left_anti")
     counted = missing.mapInArrow(run, "content binary, n_tokens long")
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
-    counts = _stored(spark, cache, version)
+    # a plain table, so that the join can split a digest that many rows share
+    counts = materialize(_stored(spark, cache, version), "counts")
     return keyed.join(counts, "content").select(F.col("key_in").alias(key), "n_bytes", "n_tokens")
 
 
