@@ -170,7 +170,8 @@ def keep_bitmaps(
         .agg(F.sum("docs").alias("all_docs"), F.max("doc").alias("largest"))
         .where(F.col("all_docs") >= min_docs)
     )
-    late = streamed.where(F.col("kind") == _OPEN).join(edges, ["hi", "lo"]).where("doc <> largest")
+    # two summaries per range at most, so this side is bounded by the number of ranges, not of rows
+    late = streamed.where(F.col("kind") == _OPEN).join(F.broadcast(edges), ["hi", "lo"]).where("doc <> largest")
     columns = ["doc", "fp", "pos", "n_lines"]
     lost = streamed.where(F.col("kind") == _DECIDED).select(*columns).unionByName(late.select(*columns))
     grouped = lost.groupBy("doc", "fp").agg(F.max("n_lines").alias("n_lines"), F.collect_list("pos").alias("lost"))
