@@ -9,10 +9,12 @@ from migratrace.llm.common import new_folder, table
 from migratrace.llm.counts import token_counts
 from migratrace.llm.lang_id import fit_language_model, identify
 from migratrace.llm.line_dedup import keep_bitmaps, line_report
+from migratrace.llm.mixing import mix_report
 from migratrace.llm.pieces import encode_documents
 from migratrace.llm.quality_rules import quality_cascade
 from migratrace.llm.set_join import jaccard_components
 from migratrace.llm.topk import top_inner_products
+from migratrace.llm.warc import archive_report, write_archive
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -29,6 +31,12 @@ def model_bytes() -> bytes:
         return f.read()
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = new_folder(spark, "warc")
+    write_archive(table(spark, folder, "pages"), archive)
+    return archive_report(spark, archive)
+
+
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
@@ -38,6 +46,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_report(table(spark, folder, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_cascade(table(spark, folder, "documents")).drop("rejected_by")
 
@@ -68,6 +80,20 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
 
+_OP1_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS owner
+  FROM pages
+)
+SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+       translate(list_aggregate(list_transform([1, 11, 21, 31], lambda i: to_base(CAST('0x' || substr(h, i, 10) AS BIGINT), 32, 8)), 'string_agg', ''),
+                 '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM p
+"""
+
 _OP2_SQL = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') AS w
@@ -150,12 +176,14 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
+    "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_topk": op10_topk,
 }
-SQL: dict[str, str] = {"op2_jaccard_join": _OP2_SQL, "op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL, "op10_topk": _OP10_SQL}
+SQL: dict[str, str] = {"op1_warc": _OP1_SQL, "op2_jaccard_join": _OP2_SQL, "op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL, "op10_topk": _OP10_SQL}
