@@ -83,18 +83,18 @@ def _permuted(slots: DataFrame, seed: int) -> DataFrame:
 
 
 def drawn_slots(sources: DataFrame, *, block: int = BLOCK, shard: int = SHARD, repeats: int = REPEATS, seed: int = 1) -> DataFrame:
-    """(shard, sid, slot, pass, block): every slot of the mix with the block that fills it.
+    """(shard, sid, slot, pass, block, words): every slot of the mix with the block that fills it.
 
     Each shard draws its slots' sources independently by the targets, a
     multinomial count per source.  Draws beyond a source's number of slots are
-    not used, and missing ones form a last shard, so that each source gets
-    target / block slots, rounded, whatever was drawn, and at most ``repeats``
-    passes.
+    not used, and missing ones form a last shard, so that each source gets as
+    many slots as its target needs, whatever was drawn, and at most ``repeats``
+    passes.  ``words`` is how many of the block's first words the slot takes:
+    all, but for the last slot of a source, which takes what its target lacks.
     """
     spark = sources.sparkSession
     n = F.ceil(F.col("source_size") / block).cast("long")
-    most = F.least(n * repeats, F.round(F.col("target") / block).cast("long"))
-    full = F.when(F.col("target") >= F.col("source_size") * float(repeats), n * repeats).otherwise(most)
+    full = F.least(n * repeats, F.ceil(F.try_divide(F.col("target") * n, F.col("source_size").cast("double"))).cast("long"))
     wanted = sources.select("sid", n.alias("n"), full.alias("wanted")).where("wanted > 0")
     below = W.partitionBy(F.lit(0)).orderBy("sid").rowsBetween(W.unboundedPreceding, -1)
     cdf = wanted.select("sid", "n", "wanted", F.coalesce(F.sum("wanted").over(below), F.lit(0)).alias("low"))
@@ -125,7 +125,16 @@ def drawn_slots(sources: DataFrame, *, block: int = BLOCK, shard: int = SHARD, r
     )
     slots = used.select("sid", "shard", "n", F.explode(F.expr("sequence(start, stop - 1)")).alias("slot"))
     slots = slots.withColumn("pass", F.expr("slot div n")).withColumn("place", F.expr("slot % n"))
-    return _permuted(slots, seed).select("shard", "sid", "slot", "pass", "block")
+    slots = materialize(_permuted(slots, seed).select("shard", "sid", "slot", "pass", "block"), "slots")
+    ends = sources.select("sid", n.alias("n"), full.alias("wanted"), "source_size", "target")
+    slots = slots.join(ends, "sid").withColumn(
+        "words", F.when(F.col("block") == F.col("n") - 1, F.col("source_size") - (F.col("n") - 1) * block).otherwise(block)
+    )
+    final = F.col("slot") == F.col("wanted") - 1
+    others = materialize(slots.where(~final).groupBy("sid").agg(F.sum("words").alias("others")), "slot-words")
+    rest = F.round("target").cast("long") - F.coalesce("others", F.lit(0))
+    taken = F.when(final, F.greatest(F.lit(0), F.least("words", rest))).otherwise(F.col("words"))
+    return slots.join(others, "sid", "left").select("shard", "sid", "slot", "pass", "block", taken.alias("words"))
 
 
 def _sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
@@ -168,15 +177,17 @@ class Mix:
             .select(
                 "sid", "start", "block",
                 (F.greatest(inner, "start") - F.col("start")).alias("at"),
+                (F.greatest(inner, "start") - inner).alias("inner"),
                 (F.least(inner + block, F.col("start") + F.col("size")) - F.greatest(inner, "start")).alias("words"),
             )
         )
         self.slots = drawn_slots(self.sources, block=block, shard=shard, repeats=repeats, seed=seed)
 
     def taken_pieces(self) -> DataFrame:
-        """Pieces of documents with the number of times their block is in the mix."""
-        times = self.slots.groupBy("sid", "block").agg(F.count("*").alias("times"))
-        return self.pieces.join(times, ["sid", "block"])
+        """(sid, start, at, takes): pieces of documents and how many of their words each slot takes, most first."""
+        slots = self.slots.groupBy("sid", "block").agg(F.sort_array(F.collect_list("words"), asc=False).alias("limits"))
+        takes = F.transform("limits", lambda n: F.greatest(F.lit(0).cast("long"), F.least(n - F.col("inner"), F.col("words"))))
+        return self.pieces.join(slots, ["sid", "block"]).select("sid", "start", "at", takes.alias("takes"))
 
 
 def mix_report(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
@@ -185,13 +196,15 @@ def mix_report(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
     size is the number of words of the whole text (null: 0), target the number
     of words its source is to give, taken how many of the document's words the
     mix has, repeats counted.  Words are runs of other characters than ASCII
-    white space.  Each source gives its target to within two blocks, no
-    document is taken more than REPEATS times, and reruns agree.  Null keys and
+    white space.  Each source gives its target, but for rounding and what its
+    one short block makes out, no document is taken more than REPEATS times, and reruns agree.  Null keys and
     sources are values like others; repeated rows are documents of their own;
     an empty table gives no rows; other columns are not read.
     """
     mix = Mix(docs, key=key, **options)
-    taken = mix.taken_pieces().groupBy("sid", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    taken = mix.taken_pieces().groupBy("sid", "start").agg(
+        F.sum(F.aggregate("takes", F.lit(0).cast("long"), lambda a, n: a + n)).alias("taken")
+    )
     placed = mix.placed.join(mix.sources.select("sid", "source_size", "target"), "sid")
     # a document without words has no place in the stream of its own
     full = placed.where("size > 0").join(taken, ["sid", "start"], "left")
@@ -210,7 +223,7 @@ def mix_documents(
     the number of characters, if there is one.
     """
     mix = Mix(docs, key=key, text=text, source=source, **options)
-    item = F.struct("at", "words", F.col("times").cast("int").alias("times"))
+    item = F.struct("at", "takes")
     lists = mix.taken_pieces().groupBy("sid", "start").agg(F.sort_array(F.collect_list(item)).alias("pieces"))
     found = mix.placed.where("size > 0").join(lists, ["sid", "start"]).select("id", "source", "print", "nth", "size", "pieces")
     found = materialize(found, "pieces").toDF("m_id", "m_source", "m_print", "m_nth", "m_size", "m_pieces")
@@ -225,8 +238,11 @@ def mix_documents(
         & (F.col("r_print") == F.col("m_print")) & (F.col("r_nth") == F.col("m_nth"))
     )
     joined = marked.join(found, same)
-    passes = joined.withColumn("m_pass", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("m_pieces", lambda p: p["times"])))))
-    taken = F.filter("m_pieces", lambda p: p["times"] >= F.col("m_pass"))
+    most = F.array_max(F.transform("m_pieces", lambda p: F.size(F.filter(p["takes"], lambda n: n > 0))))
+    passes = joined.withColumn("m_most", most).where("m_most > 0").withColumn("m_pass", F.explode(F.expr("sequence(1, m_most)")))
+    now = F.transform("m_pieces", lambda p: F.struct(p["at"].alias("at"), F.coalesce(F.get(p["takes"], F.col("m_pass") - 1), F.lit(0)).alias("words")))
+    passes = passes.withColumn("m_taken", F.filter(now, lambda p: p["words"] > 0))
+    taken = F.col("m_taken")
     words = F.aggregate(taken, F.lit(0).cast("long"), lambda a, p: a + p["words"])
     tokens = F.regexp_extract_all(text_, F.lit(_TOKEN), F.lit(0))
     passes = passes.withColumn("m_tokens", F.when(words < F.col("m_size"), tokens))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from operator import itemgetter
 
@@ -267,7 +267,13 @@ ENCODED = (
 
 
 def encode_documents(
-    docs: DataFrame, model: bytes, *, key: str = "doc_id", text: str = "text", end: bool = True, outputs: bool = True
+    docs: DataFrame,
+    model: bytes,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    end: bool = True,
+    outputs: Iterable[str] | None = None,
 ) -> DataFrame:
     """Ids, byte spans and the decoded text of every whole text of ``docs``.
 
@@ -275,8 +281,8 @@ def encode_documents(
     (if ``end``), begin and end byte of each piece in the UTF-8 of the text,
     decode(ids), the number of ids, the number of original bytes the spans
     cover, and digests of the ids (decimal, one space between) and of the
-    decoded text.  ``outputs=False`` leaves the four long columns out; spans
-    are computed and checked all the same.
+    decoded text.  ``outputs`` names those wanted, all by default; spans are
+    computed and checked all the same.
 
     A null text counts as empty: no ids but the end id.  Null and repeated keys
     are kept, a row each; an empty table gives no rows; other columns, whatever
@@ -285,9 +291,9 @@ def encode_documents(
     """
     ship_package(docs.sparkSession)
     schema = docs.select(key).schema
-    wanted = [c.split() for c in ENCODED.split(", ")]
-    if not outputs:
-        wanted = wanted[4:]
+    order = [c.split()[0] for c in ENCODED.split(", ")]
+    wanted = [c.split() for c in ENCODED.split(", ") if outputs is None or c.split()[0] in set(outputs)]
+    places = [order.index(n) for n, _ in wanted]
     arrow_key = docs.select(key).limit(0).toArrow().schema.field(0).type
     kinds = {"array<int>": pa.list_(pa.int32()), "string": pa.string(), "long": pa.int64()}
     names = [key if key not in {n for n, _ in wanted} else f"{key}_in", *(n for n, _ in wanted)]
@@ -311,8 +317,9 @@ def encode_documents(
                     hashlib.sha256(codec.digits(ids).encode()).hexdigest(),
                     hashlib.sha256(decoded.encode()).hexdigest(),
                 ]
-                for column, x in zip(rows, [ids, starts, ends, decoded, *sums] if outputs else sums, strict=True):
-                    column.append(x)
+                figures = [ids, starts, ends, decoded, *sums]
+                for column, place in zip(rows, places, strict=True):
+                    column.append(figures[place])
             arrays = [pa.array(c, f.type) for c, f in zip(rows, list(arrow)[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("key_in"), *arrays], schema=arrow)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from migratrace.llm.common import new_folder, table
+from migratrace.llm.cotrain import fit_quality_model, score_documents
 from migratrace.llm.counts import token_counts
 from migratrace.llm.lang_id import fit_language_model, identify
 from migratrace.llm.line_dedup import keep_bitmaps, line_report
@@ -54,14 +55,19 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_cascade(table(spark, folder, "documents")).drop("rejected_by")
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return score_documents(docs, fit_quality_model(docs, table(spark, folder, "labels")))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return line_report(docs, keep_bitmaps(docs))
 
 
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = encode_documents(table(spark, folder, "documents"), model_bytes(), outputs=False)
-    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered")
+    columns = ("n_tokens", "ids_sha256", "decoded_sha256", "covered")
+    return encode_documents(table(spark, folder, "documents"), model_bytes(), outputs=columns)
 
 
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,6 +187,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
