@@ -197,6 +197,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, *, key: str = "doc_id", t
     keep, print_ = (next(n for n in (base + "_" * i for i in range(len(taken) + 1)) if n not in taken) for base in ("keep_map", "keep_fp"))
     small = bitmaps.select(F.col(key), F.col("fp").alias(print_), F.col("keep").alias(keep))
     marked = docs.withColumn(print_, F.crc32(docs[text].cast("binary")))
+    columns = docs.columns
 
     def run(batches):
         for part in slices(batches, text):
@@ -204,9 +205,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, *, key: str = "doc_id", t
             kept = [t if m is None else _kept(t, m) for t, m in zip(texts, part.column(keep).to_pylist(), strict=True)]
             at = part.schema.get_field_index(text)
             whole = part.set_column(at, text, pa.array(kept, pa.string()))
-            yield whole.select(docs.columns)
+            yield whole.select(columns)
 
-    return marked.join(small, [key, print_], "left").select(*docs.columns, keep).mapInArrow(run, docs.schema)
+    return marked.join(small, [key, print_], "left").select(*columns, keep).mapInArrow(run, docs.schema)
 
 
 def _kept(text: str, bitmap: bytes) -> str:
