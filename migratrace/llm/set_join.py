@@ -10,8 +10,9 @@ the overlap that follows from them is too low.
 
 Answers are derived first: every set is compared with one hub, the set it
 shares most lists with.  Overlaps with a common hub bound the overlap of two
-sets from both sides; only pairs that the bounds leave open, and that links
-found so far do not join already, are compared in full.
+sets from both sides, and the counts of their shingles per range of the hash
+order bound it from above; only pairs that the bounds leave open, and that
+links found so far do not join already, are compared in full.
 """
 
 from __future__ import annotations
@@ -34,11 +35,13 @@ PERCENT = 85
 #: Ratio of the largest to the smallest set size of a class; sets of a class are cut into equally many segments.
 CLASS_RATIO = 1.4
 #: Rows of one index list that a task looks through at once; a longer list goes out in parts, unskipped.
-LIST_ROWS = 1 << 16
+LIST_ROWS = 1 << 14
 #: Bits of the filter that keeps texts from being cut into sets again when no candidate needs them.
 FILTER_BITS = 1 << 23
-#: Sets of a list that are compared with the rest in one round, at first; eight times as many in each further round.
-LEADERS = 8
+#: Rounds in which one set of each list is compared with the rest; then four times as many in each further round.
+SINGLE_ROUNDS = 4
+#: Ranges of the hash order whose counts bound an overlap before sets are fetched.
+RANGES = 256
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -58,7 +61,7 @@ def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
     for i in np.flatnonzero((np.diff(words) > 0) & (np.diff(words) < size)):
         h = np.uint64(words[i + 1] - words[i])
         for x in hashes[words[i] : words[i + 1]]:
-            h = mix(np.array([h + x]))[0]
+            h = mix(np.array([h]) + x)[0]
         sets[i] = np.array([h], np.uint64)
     return sets
 
@@ -116,6 +119,19 @@ def _identity(values: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
+def _profile(values: np.ndarray) -> bytes:
+    """How many shingles lie in each of RANGES equal parts of the hash order, 255 for that many and more."""
+    counts = np.bincount((values >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _profiles(column: pa.Array) -> np.ndarray:
+    """The counts of every row; 255 becomes a number that bounds nothing."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16)
+    rows[rows == 255] = np.iinfo(np.int16).max
+    return rows
+
+
 def _scan(size: int, percent: int):
     """Size and identity of every text's set; the keys once per set and task."""
 
@@ -123,7 +139,7 @@ def _scan(size: int, percent: int):
         segments, seen = Segments(percent), set()
         for part in slices(batches, "text_in"):
             sets = shingle_sets(part.column("text_in"), size)
-            nodes, checks, keys, places = [], [], [], []
+            nodes, checks, keys, places, profiles = [], [], [], [], []
             for values in sets:
                 node, check = _identity(values) if len(values) else (None, None)
                 nodes.append(node)
@@ -131,11 +147,13 @@ def _scan(size: int, percent: int):
                 if node is None or node in seen:
                     keys.append(None)
                     places.append(None)
+                    profiles.append(None)
                     continue
                 seen.add(node)
                 k, p = segments.keys(values)
                 keys.append(k.view(np.int64))
                 places.append(p.astype(np.int32))
+                profiles.append(_profile(values))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("key_in"),
@@ -144,8 +162,9 @@ def _scan(size: int, percent: int):
                     pa.array(checks, pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array(places, pa.list_(pa.int32())),
+                    pa.array(profiles, pa.binary()),
                 ],
-                names=["key_in", "n", "node", "check", "keys", "places"],
+                names=["key_in", "n", "node", "check", "keys", "places", "profile"],
             )
 
     return run
@@ -156,6 +175,48 @@ def _enough(n, m, percent: int):
     return -((-percent * (n + m)) // (100 + percent))
 
 
+def _lists(handle, profiled: bool):
+    """Run ``handle`` over whole lists of rows that come ordered by key.
+
+    A list of more than LIST_ROWS rows goes out in parts, as it is.
+    """
+    names = ["key", "node", "n", "pos"]
+
+    def arrays(batch):
+        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        if profiled:
+            rows.append(_profiles(batch.column(4)))
+        return rows
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in rows[:4]], names=names)
+
+    def run(batches):
+        held, parted = None, False  # rows of the open list; whether some of it went out before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = arrays(batch)
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if cut:
+                first = int(np.searchsorted(rows[0], rows[0][0], "right")) if parted else 0
+                if first:
+                    yield out([x[:first] for x in rows])
+                if cut > first:
+                    yield out(handle([x[first:cut] for x in rows]))
+                parted = False
+            held = [x[cut:] for x in rows]
+            if len(held[0]) > LIST_ROWS:
+                yield out(held)
+                held, parted = [x[:0] for x in held], True
+        if held is not None and len(held[0]):
+            yield out(held if parted else handle(held))
+
+    return run
+
+
 def _skip(percent: int):
     """Of rows ordered by key, size, position and set: those that a partner in their list may link to.
 
@@ -165,7 +226,7 @@ def _skip(percent: int):
     that is too large.
     """
 
-    def lists(rows: list[np.ndarray]):
+    def handle(rows: list[np.ndarray]):
         key, node, n, pos = rows
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
@@ -192,31 +253,43 @@ def _skip(percent: int):
             keep[own] = used[where]
         return [x[keep] for x in (key, node, n, pos)]
 
-    def run(batches):
-        held: list[np.ndarray] | None = None
-        names = ["key", "node", "n", "pos"]
-        for batch in batches:
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            if not len(rows[0]):
-                continue
-            cut = int(np.searchsorted(rows[0], rows[0][-1]))
-            if len(rows[0]) - cut > LIST_ROWS:
-                whole, rows_left = [x[cut:] for x in rows], [x[-1:] for x in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(x[:-1]) for x in whole], names=names)
-            else:
-                rows_left = [x[cut:] for x in rows]
-            if cut:
-                out = lists([x[:cut] for x in rows])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
-            held = rows_left
-        if held is not None:
-            out = lists(held)
-            # the rest of a list that went out in parts is kept even if it is a single row
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (out if len(out[0]) else held)], names=names)
+    return _lists(handle, False)
 
-    return run
+
+def _split(percent: int):
+    """Cut each list where no two sets on both sides can link by their counts per range of the hash order.
+
+    A set without any partner goes; the rest of a list falls into the groups
+    that are connected by possible links, each a list with a key of its own.
+    """
+
+    def handle(rows: list[np.ndarray]):
+        key, node, n, pos, profile = rows
+        size = n.astype(np.int64)
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        group = np.full(len(key), -1, np.int64)
+        for s, e in zip(start, np.append(start[1:], len(key)), strict=True):
+            rest, name = np.arange(s, e), 0
+            while len(rest):
+                stack, rest, members = [rest[0]], rest[1:], [rest[0]]
+                while stack and len(rest):
+                    i = stack.pop()
+                    most = np.minimum(profile[i], profile[rest]).sum(axis=1, dtype=np.int64)
+                    hit = most >= _enough(size[i], size[rest], percent)
+                    if hit.any():
+                        found = rest[hit].tolist()
+                        stack += found
+                        members += found
+                        rest = rest[~hit]
+                if len(members) > 1:
+                    group[members] = name
+                    name += 1
+        keep = group >= 0
+        with np.errstate(over="ignore"):
+            fresh = mix(key.view(np.uint64) ^ mix(group.astype(np.uint64))).view(np.int64)
+        return [fresh[keep], node[keep], n[keep], pos[keep]]
+
+    return _lists(handle, True)
 
 
 def _candidate_sets(texts: DataFrame, reps: DataFrame, size: int) -> DataFrame:
@@ -234,17 +307,35 @@ def _candidate_sets(texts: DataFrame, reps: DataFrame, size: int) -> DataFrame:
             at = np.array([zlib.crc32(str(d).encode()) % FILTER_BITS for d in batch.column("key_in").to_pylist()], np.int64)
             hit = pa.array((bits[at // 32] >> (at % 32).astype(np.uint32) & 1).astype(bool) if len(at) else np.zeros(0, bool))
             for part in slices([batch.filter(hit)], "text_in"):
-                pairs = [(_identity(s)[0], s.view(np.int64)) for s in shingle_sets(part.column("text_in"), size) if len(s)]
-                if pairs:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.list_(pa.int64()))],
-                        names=["node", "items"],
-                    )
+                found = [s for s in shingle_sets(part.column("text_in"), size) if len(s)]
+                if found:
+                    names = pa.array([_identity(s)[0] for s in found], pa.int64())
+                    items = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([names, items], names=["node", "items"])
 
     found = texts.mapInArrow(run, "node long, items array<long>")
     return found.join(reps.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b, n_a, n_b) whose counts per range of the hash order leave a link possible.
+
+    Sets share at most the smaller count of each range; only the counts move.
+    """
+    one = nodes.select(F.col("node").alias("a"), F.col("profile").alias("profile_a"))
+    two = nodes.select(F.col("node").alias("b"), F.col("profile").alias("profile_b"))
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                most = np.minimum(_profiles(batch.column(4)), _profiles(batch.column(5))).sum(axis=1, dtype=np.int64)
+                n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+                yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(most >= _enough(n, m, percent)))
+
+    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "n_a", "n_b", "profile_a", "profile_b")
+    return joined.mapInArrow(run, "a long, b long, n_a int, n_b int")
+
+
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b) with the number of shared shingles."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
@@ -287,15 +378,15 @@ def jaccard_components(
     texts = docs.select(docs[key].alias("key_in"), docs[text].alias("text_in"))
     scanned = materialize(
         texts.mapInArrow(
-            _scan(size, percent), f"key_in {kind}, n long, node long, check long, keys array<long>, places array<int>"
+            _scan(size, percent), f"key_in {kind}, n long, node long, check long, keys array<long>, places array<int>, profile binary"
         ),
         "sets",
     )
     nodes = (
         scanned.where("node IS NOT NULL AND key_in IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("key_in").alias("doc"), F.min("n").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"))
-        .select("node", "doc", F.when(F.col("low") == F.col("high"), F.col("n")).otherwise(F.raise_error(F.lit("two sets share a digest"))).alias("n"))
+        .agg(F.min("key_in").alias("doc"), F.min("n").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("profile", ignorenulls=True).alias("profile"))
+        .select("node", "doc", "profile", F.when(F.col("low") == F.col("high"), F.col("n")).otherwise(F.raise_error(F.lit("two sets share a digest"))).alias("n"))
     )
     nodes = materialize(nodes, "nodes")
     rows = (
@@ -304,7 +395,11 @@ def jaccard_components(
         .select(F.col("e.keys").alias("key"), "node", "n", F.col("e.places").alias("pos"))
     )
     indexed = rows.repartition("key").sortWithinPartitions("key", "n", "pos", "node")
-    lists = materialize(indexed.mapInArrow(_skip(percent), "key long, node long, n int, pos int"), "lists")
+    columns = "key long, node long, n int, pos int"
+    lists = materialize(indexed.mapInArrow(_skip(percent), columns), "lists")
+    counted = lists.join(nodes.select("node", "profile"), "node").select("key", "node", "n", "pos", "profile")
+    ordered = counted.repartition("key").sortWithinPartitions("key", "node")
+    lists = materialize(ordered.mapInArrow(_split(percent), columns), "split-lists")
     labels = _link_lists(texts, lists, nodes, size, percent)
     reached = labels.join(nodes, "node").groupBy("label").agg(F.min("doc").alias("least"))
     joined = labels.join(reached, "label").select("node", "least")
@@ -340,8 +435,11 @@ def _link_lists(texts: DataFrame, lists: DataFrame, nodes: DataFrame, size: int,
     labels = materialize(components(links), "labels")
 
     known = hubs.select("node", "hub", F.col("shared").alias("in_hub"), "n_hub")
-    left, leaders = lists, LEADERS
+    tried = materialize(hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")), "tried")
+    left, turn = lists, 0
     while True:
+        turn += 1
+        leaders = 4 ** max(0, turn - SINGLE_ROUNDS)
         # what is left of each list, with labels and overlaps with the hub; a hub is its own
         open_rows = (
             left.join(labels, "node", "left")
@@ -373,14 +471,15 @@ def _link_lists(texts: DataFrame, lists: DataFrame, nodes: DataFrame, size: int,
         most = F.when(common, F.least("in_hub_a", "in_hub_b") + F.least(rest_a, rest_b)).otherwise(F.least("n_a", "n_b"))
         fewest = F.when(common, F.col("in_hub_a") + F.col("in_hub_b") - F.col("n_hub_a")).otherwise(F.lit(0))
         pairs = pairs.where(_linked(most, F.col("n_a"), F.col("n_b"), percent)).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b"), "n_a", "n_b",
+            F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").cast("int").alias("n_a"), F.col("n_b").cast("int").alias("n_b"),
             _linked(fewest, F.col("n_a"), F.col("n_b"), percent).alias("sure"),
         )
-        pairs = materialize(pairs.dropDuplicates(["a", "b"]), "pairs")
-        compared = _overlaps(pairs.where("NOT sure"), sets).where(_linked(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
+        pairs = materialize(pairs.dropDuplicates(["a", "b"]).join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs.select("a", "b"))
+        near = materialize(_possible(pairs.where("NOT sure"), nodes, percent), "near")
+        compared = _overlaps(near, sets).where(_linked(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
         fresh = materialize(pairs.where("sure").select("a", "b").unionByName(compared.select("a", "b")), "links")
         if fresh.limit(1).count():
             links = links.unionByName(fresh)
             labels = materialize(components(links), "labels")
         left = open_rows.select("key", "node", "n", "pos").join(leads.select("key", "node"), ["key", "node"], "left_anti")
-        leaders *= 8
