@@ -90,7 +90,7 @@ def _sigmoid(z):
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 25) -> np.ndarray:
     """Weights of a logistic regression (the last is the constant), by Newton steps."""
-    x = np.c_[x, np.ones(len(x))]
+    x = np.c_[x, np.ones(len(x), x.dtype)]
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = _sigmoid(x @ w)
@@ -175,12 +175,12 @@ def _places(edges, numbers, names):
 def _fit_meta(numbers: np.ndarray, names: np.ndarray, y: np.ndarray) -> MetaView:
     edges = np.quantile(numbers, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
     width = NUMBERS * BINS + names.shape[1] * NAME_BUCKETS
-    x = np.zeros((len(y), width))
-    for column, place in _places(edges, numbers, names):
-        x[np.arange(len(y)), column + place] = 1
-    used = x.any(axis=0)
+    at = np.stack([column + place for column, place in _places(edges, numbers, names)], axis=1)
+    used, index = np.unique(at, return_inverse=True)
+    x = np.zeros((len(y), len(used)), np.float32)
+    x[np.arange(len(y))[:, None], index.reshape(at.shape)] = 1
     weights = np.zeros(width + 1)
-    weights[np.append(used, True)] = _logistic(x[:, used], y, ridge=3e-3)
+    weights[np.append(used, width)] = _logistic(x, y, ridge=3e-3)
     return MetaView(edges, weights)
 
 
@@ -227,13 +227,16 @@ def fit_quality_model(
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "y", "words", "numbers", "names"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = picked.mapInArrow(run, f"id {kind}, y int, words array<int>, numbers array<double>, names array<bigint>").toPandas()
-    if not len(rows):
+    rows = picked.mapInArrow(run, f"id {kind}, y int, words array<int>, numbers array<double>, names array<bigint>")
+    rows = rows.withColumn("size", F.size("words")).sort("id", "size").toArrow()
+    if not rows.num_rows:
         return None
-    rows = rows.assign(size=rows["words"].map(len)).sort_values(["id", "size"], ignore_index=True)
-    y = rows["y"].to_numpy()
-    words = [np.asarray(w, np.int64) for w in rows["words"]]
-    numbers, names = np.array(rows["numbers"].tolist()), np.array(rows["names"].tolist(), np.int64)
+    y = rows.column("y").to_numpy()
+    lists = rows.column("words").combine_chunks()
+    bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    words = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    numbers = rows.column("numbers").combine_chunks().flatten().to_numpy().reshape(-1, NUMBERS)
+    names = rows.column("names").combine_chunks().flatten().to_numpy().reshape(-1, 2)
     draw = np.random.Generator(np.random.PCG64(seed))
     labelled = draw.permutation(np.flatnonzero(y >= 0))
     held, base = labelled[: len(labelled) // 5], labelled[len(labelled) // 5 :]
