@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Accepted besides ISO 8601 text; the first pattern that parses wins.
-DATE_FORMATS = ("dd-MM-yyyy HH:mm:ss", "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy", "MMM d yyyy")
+# Accepted besides ISO 8601 text with a four-digit year; the first pattern that parses wins.
+DAY_FIRST = ("d-M-yyyy[ H:mm[:ss]]", "d/M/yyyy[ H:mm[:ss]]", "d-M-yyyy h:mm[:ss] a", "d/M/yyyy h:mm[:ss] a", "MMM d yyyy")
+MONTH_FIRST = ("M-d-yyyy[ H:mm[:ss]]", "M/d/yyyy[ H:mm[:ss]]", "M-d-yyyy h:mm[:ss] a", "M/d/yyyy h:mm[:ss] a", "MMM d yyyy")
+DATE_FORMATS = DAY_FIRST
+ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}"
+
+Formats = Sequence[str] | Mapping[str, Sequence[str]]
 
 
 def col(name: str) -> Column:
@@ -26,12 +31,34 @@ def text_or_empty(c: Column) -> Column:
 
 def parse_timestamp(c: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Timestamp without zone, or null when no format fits."""
-    text = c.cast("string")
-    tries = [text.try_cast("timestamp_ntz")]
+    text = F.trim(c.cast("string"))
+    tries = [F.when(text.rlike(ISO_START), text).try_cast("timestamp_ntz")]
     tries += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(*tries)
 
 
+def formats_of(formats: Formats, name: str) -> Sequence[str]:
+    """The patterns of one column, where they are given per column."""
+    return formats.get(name, DATE_FORMATS) if isinstance(formats, Mapping) else formats
+
+
+def date_formats(df: DataFrame, names: Sequence[str]) -> dict[str, Sequence[str]]:
+    """Day first or month first, for each column as a whole: whichever reads more of it, month first on a tie.
+
+    One aggregate over all values of all the columns.
+    """
+    present = [n for n in dict.fromkeys(names) if n in df.columns]
+    if not present:
+        return {}
+    counts = [
+        F.count(parse_timestamp(col(n), f)).alias(f"{kind}{i}")
+        for i, n in enumerate(present)
+        for kind, f in (("day", DAY_FIRST), ("month", MONTH_FIRST))
+    ]
+    found = df.agg(*counts).first()
+    return {n: DAY_FIRST if found[f"day{i}"] > found[f"month{i}"] else MONTH_FIRST for i, n in enumerate(present)}
+
+
 def number(c: Column) -> Column:
     """The number in a text, or null; a literal suffix such as ``1d`` or NaN is none."""
     text = F.trim(c.cast("string"))

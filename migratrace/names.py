@@ -11,6 +11,7 @@ BOTH = "Both"
 UNKNOWN = "Unknown"
 SYSTEM_TYPES = (BOTH, NEW, LEGACY, UNKNOWN)
 TWO_SYSTEMS = (LEGACY, NEW)
+OTHER = "Other"
 
 # ---- fixed values: other defaults ------------------------------------------
 NO_PRIMARY_SYSTEM = "None"
@@ -20,7 +21,7 @@ DEFAULT_TEAM = "Unknown"
 DEFAULT_OPCO = "Pt Multi Bintang Indonesia Tbk"
 NOISE_CLUSTER = -1
 
-# ---- raw export columns, after mapping -------------------------------------
+# ---- fixed values: raw export columns, after mapping -------------------------------------
 NUMBER = "Number"
 CI = "Configuration item"
 OFFERING = "Service offering"

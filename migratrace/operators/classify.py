@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from migratrace import names as N
-from migratrace.functions.columns import lower_text, number, parse_timestamp, col
+from migratrace.functions.columns import DATE_FORMATS, col, lower_text, number, parse_timestamp
 from migratrace.operators.rules import DEFAULT_RULES, Rule, sql_text
 
 
@@ -57,34 +57,42 @@ def classify(
     return picked.select(*kept, *[F.expr(e).alias(name) for name, e in fixed.items()])
 
 
-def first_new_system_ticket(df: DataFrame, created: str = N.CREATED, system: str = N.NEW) -> DataFrame:
+def first_new_system_ticket(
+    df: DataFrame, created: str = N.CREATED, system: str = N.NEW, formats: Sequence[str] = DATE_FORMATS
+) -> DataFrame:
     """One row, one column: the earliest creation time among new-system tickets.
 
     A conditional minimum rather than a filter: pushed below the classification,
     the filter would make every ticket go through the rules twice.
     """
-    ts = parse_timestamp(col(created))
+    ts = parse_timestamp(col(created), formats)
     return df.agg(F.min(F.when(F.col("System_Type") == system, ts)).alias("start"))
 
 
-def noise_condition(start: Column, created: str = N.CREATED, reopens: str = N.REOPENS, days: int = 90) -> Column:
-    ts = parse_timestamp(col(created))
+def noise_condition(
+    start: Column, created: str = N.CREATED, reopens: str = N.REOPENS, days: int = 90, formats: Sequence[str] = DATE_FORMATS
+) -> Column:
+    ts = parse_timestamp(col(created), formats)
     reopened = F.coalesce(number(col(reopens)), F.lit(0.0)) >= 1
     inside = (ts >= start) & (ts <= start + F.make_dt_interval(F.lit(days)))
     return F.coalesce(reopened & inside, F.lit(False))
 
 
 def flag_migration_noise(
-    classified: DataFrame, created: str = N.CREATED, reopens: str = N.REOPENS, days: int = 90
+    classified: DataFrame,
+    created: str = N.CREATED,
+    reopens: str = N.REOPENS,
+    days: int = 90,
+    formats: Sequence[str] = DATE_FORMATS,
 ) -> DataFrame:
     """Flag reopened tickets of any system within ``days`` of the first new-system ticket.
 
     The start is a scalar subquery over two columns of the table.
     """
-    start = first_new_system_ticket(classified, created).scalar()
+    start = first_new_system_ticket(classified, created, formats=formats).scalar()
     return (
         classified.withColumn("__start", start)
-        .withColumn("post_migration_noise", noise_condition(F.col("__start"), created, reopens, days))
+        .withColumn("post_migration_noise", noise_condition(F.col("__start"), created, reopens, days, formats))
         .drop("__start")
     )
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from migratrace import names as N
 from migratrace.functions.columns import (
     DATE_FORMATS,
+    Formats,
     col,
     elapsed_micros,
+    formats_of,
     month_start,
     number,
     parse_timestamp,
@@ -125,7 +127,7 @@ def canonical_projection(df: DataFrame) -> DataFrame:
 def normalize(
     classified: DataFrame,
     default_opco: str = N.DEFAULT_OPCO,
-    formats: Sequence[str] = DATE_FORMATS,
+    formats: Formats = DATE_FORMATS,
 ) -> DataFrame:
     """Canonical tickets from a classified table with the raw column names."""
     present = set(classified.columns)
@@ -133,8 +135,8 @@ def normalize(
     def raw(name: str) -> Column:
         return col(name) if name in present else F.lit(None).cast("string")
 
-    created = parse_timestamp(raw(N.CREATED), formats)
-    closed = parse_timestamp(raw(N.CLOSED), formats)
+    created = parse_timestamp(raw(N.CREATED), formats_of(formats, N.CREATED))
+    closed = parse_timestamp(raw(N.CLOSED), formats_of(formats, N.CLOSED))
     reopens = F.coalesce(number(raw(N.REOPENS)), F.lit(0.0))
     base = classified.select(
         raw(N.NUMBER).alias("Ticket_ID"),

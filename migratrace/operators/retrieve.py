@@ -9,18 +9,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from migratrace.functions.columns import col, fixed, half_even
+from migratrace.functions.columns import col, fixed
 from migratrace.operators.blocks import (
     MAX_CELLS,
     ROWS_PER_BLOCK,
     choose_pivots,
     describe_cells,
+    finite,
     matrix,
     to_cells,
 )
 from migratrace.operators.embed import Encoder, embed
 from migratrace.operators.generate import ANSWER_TOKENS, Generator, generate
-from migratrace.operators.neighbours import COSINE_DIGITS, nearest_in_blocks
+from migratrace.operators.neighbours import best_cosines, nearest_in_blocks
 from migratrace.session import materialize
 
 TOP_K = 5
@@ -34,15 +35,10 @@ ANSWER_TASK = (
 
 
 def usable_vectors(tickets: DataFrame, vector: str = "Embedding") -> DataFrame:
-    """Tickets with a vector; an error when the column is missing."""
+    """Tickets with a vector of finite numbers; an error when the column is missing."""
     if vector not in tickets.columns:
         raise ValueError(f"no column {vector!r}: the tickets have to be vectorized first")
-    return tickets.where(col(vector).isNotNull() & (F.size(col(vector)) > 0))
-
-
-def _unit_rows(x: np.ndarray) -> np.ndarray:
-    norm = np.sqrt((x * x).sum(1, keepdims=True))
-    return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+    return tickets.where(finite(col(vector)))
 
 
 def _vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -59,7 +55,7 @@ def _shipped(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     rows = queries.collect()  # within SHIPPED_VALUES, checked by the caller
     spark = corpus.sparkSession
     shared = spark.sparkContext.broadcast(
-        (np.array([r["id"] for r in rows], dtype=object), _unit_rows(np.array([r["vec"] for r in rows], dtype=np.float64)))
+        (np.array([r["id"] for r in rows], dtype=object), np.array([r["vec"] for r in rows], dtype=np.float64))
     )
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,13 +63,10 @@ def _shipped(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
+            # ids ascend, so equal cosines are settled by id
             batch = batch.sort_values("id", ignore_index=True)
-            similarity = np.round(q @ _unit_rows(matrix(batch["vec"])).T, COSINE_DIGITS)
-            # ids ascend, so a stable sort settles equal cosines by id
-            best = np.argsort(-similarity, axis=1, kind="stable")[:, :k]
-            row = np.repeat(np.arange(len(q)), best.shape[1])
-            at = best.ravel()
-            yield pd.DataFrame({"query": ids[row], "other": batch["id"].to_numpy()[at], "Similarity": similarity[row, at]})
+            row, at, similarity = best_cosines(q, matrix(batch["vec"]), k)
+            yield pd.DataFrame({"query": ids[row], "other": batch["id"].to_numpy()[at], "Similarity": similarity})
 
     q_type, c_type = queries.schema["id"].dataType.simpleString(), corpus.schema["id"].dataType.simpleString()
     return _ranked(corpus.mapInPandas(score, f"query {q_type}, other {c_type}, Similarity double"), k)
@@ -101,14 +94,13 @@ def _blocked(queries: DataFrame, corpus: DataFrame, k: int, per_block: int, max_
     query meets more copies than that.
     """
     among_copies = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
-    first_copies = _lifted(corpus, False).withColumn("__copy", among_copies).where(F.col("__copy") <= k).drop("__copy")
-    points, asked = materialize(first_copies, "corpus"), materialize(_lifted(queries, True), "queries")
+    first_copies = corpus.withColumn("__copy", among_copies).where(F.col("__copy") <= k).drop("__copy")
+    points, asked = materialize(first_copies, "corpus"), queries
     pivot_ids, pivots = choose_pivots(points, points.count(), max_cells, per_block)
     points, cells = describe_cells(to_cells(points, pivots), pivots, pivot_ids, per_block)
     asked, asked_cells = describe_cells(to_cells(asked, pivots), pivots, pivot_ids, per_block)
     found = nearest_in_blocks(asked, asked_cells, points, cells, k, cosine=True)
-    similarity = half_even(F.lit(1.0) - F.col("distance") * F.col("distance") / 2, COSINE_DIGITS)
-    return found.select(F.col("id").alias("query"), "other", similarity.alias("Similarity"), F.col("rank").alias("Rank"))
+    return found.select(F.col("id").alias("query"), "other", (-F.col("distance")).alias("Similarity"), F.col("rank").alias("Rank"))
 
 
 def top_k_similar(
@@ -125,13 +117,14 @@ def top_k_similar(
 ) -> DataFrame:
     """The k tickets of highest cosine per query: query key, ticket key, Similarity, Rank.
 
-    Exact either way.  Few queries are sent to all tasks (their size is counted
-    first) and the tickets are scanned once; many queries meet the tickets in
-    bounded block pairs.  Cosines are compared to 12 decimals, ties rank by
-    ticket key; a zero vector scores 0.
+    Few queries are sent to all tasks (their size is counted first) and the
+    tickets are scanned once; many queries meet the tickets in bounded block
+    pairs.  Both ways score a pair by the same sum, to 12 decimals, so this is a
+    choice of plan only.  Ties rank by ticket key; a zero vector scores 0, and
+    vectors with a component that is null, NaN or infinite take no part.
     """
-    asked = materialize(_vectors(queries, query_key, query_vector or vector), "queries")
-    corpus = _vectors(tickets, key, vector)
+    asked = materialize(_lifted(_vectors(queries, query_key, query_vector or vector), True), "queries")
+    corpus = _lifted(_vectors(tickets, key, vector), False)
     if corpus.limit(1).count() == 0:
         raise ValueError("no ticket has a vector")
     values = asked.agg(F.coalesce(F.sum(F.size("vec")), F.lit(0)).alias("n")).first()["n"]

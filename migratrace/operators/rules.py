@@ -7,9 +7,10 @@ made on lowercase text, with null read as empty.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from migratrace.names import BOTH, CI, GROUP, LEGACY, NEW, NO_PRIMARY_SYSTEM, OFFERING, SERVICE, SHORT
+from migratrace.names import BOTH, CI, GROUP, LEGACY, NEW, NO_PRIMARY_SYSTEM, OFFERING, SERVICE, SHORT, UNKNOWN
 
 
 def sql_text(value: str) -> str:
@@ -126,3 +127,8 @@ DEFAULT_RULES: tuple[Rule, ...] = (
     Rule(has(SHORT, "omni"), NEW, "DBB-OMNI", 0.60, "rule-text"),
 )
 # ---- end of fixed values ---------------------------------------------------
+
+
+def system_types(rules: Sequence[Rule] = DEFAULT_RULES) -> tuple[str, ...]:
+    """Every system type that the rules can give, sorted: a column each in the counts by system."""
+    return tuple(sorted({r.system_type for r in rules} | {UNKNOWN}))

@@ -143,9 +143,10 @@ samples AS (
 _LINE = """'- Cluster ' || "Cluster_ID" || CASE WHEN "Strategic_Persona" <> '' THEN ' [' || "Strategic_Persona" || ']' ELSE '' END || ': "' ||
 coalesce("Cluster_Name", 'nan') || '" | Size=' || "Size" || ', Legacy=' || "Frequency_Legacy" || ', DBB=' || "Frequency_DBB" ||
 ', Analysis: ' || coalesce("Analysis", 'nan') || ', Recommendation: ' || coalesce("Recommendation", 'nan')"""
-_CELLS = "'Both=' || b || ' DBB=' || d || ' Legacy=' || l || ' Unknown=' || u"
+_CELLS = "'Both=' || b || ' DBB=' || d || ' Legacy=' || l || ' Unknown=' || u || ' Other=' || o"
 _FOUR = """count(*) FILTER (WHERE "System_Type" = 'Both') AS b, count(*) FILTER (WHERE "System_Type" = 'DBB') AS d,
-count(*) FILTER (WHERE "System_Type" = 'Legacy') AS l, count(*) FILTER (WHERE "System_Type" = 'Unknown') AS u"""
+count(*) FILTER (WHERE "System_Type" = 'Legacy') AS l, count(*) FILTER (WHERE "System_Type" = 'Unknown') AS u,
+count(*) FILTER (WHERE coalesce("System_Type" NOT IN ('Both', 'DBB', 'Legacy', 'Unknown'), true)) AS o"""
 
 
 def _rate(system: str) -> str:

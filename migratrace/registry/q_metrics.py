@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from migratrace import names as N
 from migratrace.operators.facts import (
     domain_crosstab,
     headline_totals,
@@ -35,9 +36,19 @@ def domain_module_pivot_query(spark, folder):
     return domain_module_pivot(clustered_tickets(spark, folder))
 
 
+def fifth_system_pivot(spark, folder):
+    """Tickets of a system type that the default rules do not know, with its column and without: none is lost."""
+    tickets = clustered_tickets(spark, folder)
+    hosted = F.when(F.col("OpCo").isNotNull() & F.col("Ticket_ID").endswith("7"), F.lit("Hosted"))
+    renamed = tickets.withColumn("System_Type", F.coalesce(hosted, F.col("System_Type")))
+    named = domain_crosstab(renamed, (*N.SYSTEM_TYPES, "Hosted"))
+    rest = domain_crosstab(renamed).select("Domain", F.col("Other").alias("Not_Listed"))
+    return named.join(rest, "Domain")
+
+
 def severity_crosstab_query(spark, folder):
     table = severity_crosstab(clustered_tickets(spark, folder))
-    return table.select("System_Type", *[F.col(f"`{v}`").alias(f"S{v[0]}") for v in ("1.0", "2.0", "3.0", "4.0")])
+    return table.select("System_Type", *[F.col(f"`{v}`").alias(f"S{v[0]}") for v in ("1.0", "2.0", "3.0", "4.0")], "Other")
 
 
 def strategic_personas(spark, folder):
@@ -50,6 +61,7 @@ QUERIES = {
     "cluster_metrics": cluster_metrics_query,
     "metrics_refresh": metrics_refresh,
     "domain_module_pivot": domain_module_pivot_query,
+    "fifth_system_pivot": fifth_system_pivot,
     "headline_totals": lambda s, d: headline_totals(clustered_tickets(s, d)),
     "monthly_crosstab": lambda s, d: monthly_crosstab(clustered_tickets(s, d)),
     "domain_crosstab": lambda s, d: domain_crosstab(clustered_tickets(s, d)),
@@ -82,7 +94,8 @@ metrics AS (
 )"""
 
 _FOUR = """count(*) FILTER (WHERE "System_Type" = 'Both') AS "Both", count(*) FILTER (WHERE "System_Type" = 'DBB') AS "DBB",
-count(*) FILTER (WHERE "System_Type" = 'Legacy') AS "Legacy", count(*) FILTER (WHERE "System_Type" = 'Unknown') AS "Unknown" """
+count(*) FILTER (WHERE "System_Type" = 'Legacy') AS "Legacy", count(*) FILTER (WHERE "System_Type" = 'Unknown') AS "Unknown",
+count(*) FILTER (WHERE coalesce("System_Type" NOT IN ('Both', 'DBB', 'Legacy', 'Unknown'), true)) AS "Other" """
 
 SQL = {
     "cluster_metrics": with_views("clustered", "SELECT * FROM metrics", METRICS_SQL),
@@ -106,11 +119,18 @@ SQL = {
         "clustered",
         f"""SELECT strftime("Created_Date", '%Y-%m') AS "YearMonth", {_FOUR} FROM clustered GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
     ),
+    "fifth_system_pivot": with_views(
+        "clustered",
+        f"""SELECT "Domain", {_FOUR.replace('"System_Type"', 's').replace("'Legacy', 'Unknown')", "'Legacy', 'Unknown', 'Hosted')")},
+        count(*) FILTER (WHERE s = 'Hosted') AS "Hosted", count(*) FILTER (WHERE s = 'Hosted') AS "Not_Listed"
+        FROM (SELECT "Domain", CASE WHEN "Ticket_ID" LIKE '%7' AND "OpCo" IS NOT NULL THEN 'Hosted' ELSE "System_Type" END AS s FROM clustered) GROUP BY 1""",
+    ),
     "domain_crosstab": with_views("clustered", f'SELECT "Domain", {_FOUR} FROM clustered GROUP BY 1'),
     "severity_crosstab": with_views(
         "clustered",
         """SELECT "System_Type", count(*) FILTER (WHERE "Severity" = 1) AS "S1", count(*) FILTER (WHERE "Severity" = 2) AS "S2",
-        count(*) FILTER (WHERE "Severity" = 3) AS "S3", count(*) FILTER (WHERE "Severity" = 4) AS "S4" FROM clustered GROUP BY 1""",
+        count(*) FILTER (WHERE "Severity" = 3) AS "S3", count(*) FILTER (WHERE "Severity" = 4) AS "S4",
+        count(*) FILTER (WHERE coalesce("Severity" NOT IN (1, 2, 3, 4), true)) AS "Other" FROM clustered GROUP BY 1""",
     ),
     "severity_counts": with_views(
         "clustered", 'SELECT "System_Type", "Severity", count(*) AS "Count" FROM clustered GROUP BY 1, 2'

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from migratrace import names as N
-from migratrace.functions.columns import col, month_start, parse_timestamp, week_start
+from migratrace.functions.columns import col, date_formats, month_start, parse_timestamp, week_start
 from migratrace.operators.normalize import (
     migration_dates,
     normalize,
@@ -19,6 +19,7 @@ from migratrace.registry.tickets import (
     canonical_tickets,
     classified_tickets,
     raw_tickets,
+    table,
     with_views,
 )
 
@@ -55,6 +56,33 @@ def severity_dictionary(spark, folder):
     return with_severity(typed).select(N.NUMBER, N.PRIORITY, "Severity")
 
 
+def _dates(spark, folder, written):
+    """Order dates written in a style of an export and read back, the order of day and month found from the column."""
+    orders = table(spark, folder, "orders").select("o_orderkey", written(F.col("o_orderdate").cast("timestamp")).alias(N.CREATED))
+    found = date_formats(orders, [N.CREATED])[N.CREATED]
+    return orders.select("o_orderkey", parse_timestamp(col(N.CREATED), found).alias("parsed"))
+
+
+def dates_month_first(spark, folder):
+    return _dates(spark, folder, lambda ts: F.date_format(ts, "MM/dd/yyyy HH:mm"))
+
+
+def dates_day_first(spark, folder):
+    return _dates(spark, folder, lambda ts: F.date_format(ts, "d/M/yyyy h:mm a"))
+
+
+def dates_mixed(spark, folder):
+    """ISO text and month-first text in one column, and numbers that are no dates."""
+    odd = F.col("o_orderkey") % 3
+    return _dates(
+        spark,
+        folder,
+        lambda ts: F.when(odd == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .when(odd == 1, F.date_format(ts, "M/d/yyyy"))
+        .otherwise(F.date_format(ts, "yyyyMMdd")),
+    )
+
+
 def severity_digit_fallback(spark, folder):
     return with_severity(raw_tickets(spark, folder)).select(N.NUMBER, N.PRIORITY, "Severity")
 
@@ -94,6 +122,9 @@ def reopen_metrics(spark, folder):
 
 
 QUERIES = {
+    "dates_month_first": dates_month_first,
+    "dates_day_first": dates_day_first,
+    "dates_mixed": dates_mixed,
     "normalize_canonical": normalize_canonical,
     "canonical_texts": canonical_texts,
     "severity_dictionary": severity_dictionary,
@@ -106,6 +137,9 @@ QUERIES = {
 }
 
 SQL = {
+    "dates_month_first": "SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS parsed FROM orders",
+    "dates_day_first": "SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS parsed FROM orders",
+    "dates_mixed": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderdate AS TIMESTAMP) END AS parsed FROM orders",
     "normalize_canonical": with_views("canonical", "SELECT * EXCLUDE (ticket_number) FROM canonical"),
     "canonical_texts": with_views(
         "raw",

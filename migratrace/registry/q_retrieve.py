@@ -54,6 +54,18 @@ def similar_topk_blocked(spark, folder):
     return _rounded(top_k_similar(queries, vectors, key="vec_id", shipped_values=0, per_block=128))
 
 
+def similar_topk_nan(spark, folder):
+    """Vectors with a NaN, an infinite or a missing component take no part, on either side and in either plan."""
+    bad = F.when(F.col("vec_id") % 7 == 0, F.lit(float("nan"))).when(F.col("vec_id") % 7 == 1, F.lit(float("inf")))
+    broken = F.when(F.col("vec_id") % 7 < 3, F.concat(F.array(bad.cast("float")), F.slice("Embedding", 2, 10_000))).otherwise(F.col("Embedding"))
+    vectors = _vectors(spark, folder).withColumn("Embedding", broken)
+    queries = vectors.withColumnRenamed("vec_id", "Query_ID")
+    found = top_k_similar(queries, vectors, key="vec_id")
+    blocks = top_k_similar(queries, vectors, key="vec_id", shipped_values=0, per_block=128)
+    both = found.join(blocks, ["Query_ID", "vec_id", "Similarity", "Rank"], "full_outer")
+    return both.select("Query_ID", "vec_id", "Rank")
+
+
 def _past_tickets(spark, folder):
     docs = table(spark, folder, "documents").select(
         F.col("doc_id").alias("Ticket_ID"), F.col("text").alias("Description_Text"),
@@ -82,6 +94,7 @@ def resolve_tickets_query(spark, folder):
 QUERIES = {
     "similar_topk": similar_topk,
     "similar_topk_blocked": similar_topk_blocked,
+    "similar_topk_nan": similar_topk_nan,
     "resolution_prompt": resolution_prompt,
     "resolve_tickets": resolve_tickets_query,
 }
@@ -127,6 +140,10 @@ Past tickets:
 SQL = {
     "similar_topk": _TOPK,
     "similar_topk_blocked": _TOPK,
+    "similar_topk_nan": """SELECT q AS "Query_ID", v AS vec_id, CAST(row_number() OVER (PARTITION BY q ORDER BY s DESC, v) AS INTEGER) AS "Rank"
+FROM (SELECT a.vec_id AS q, b.vec_id AS v, round_even(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) * 1e12, 0) / 1e12 AS s
+  FROM embeddings a, embeddings b WHERE a.vec_id % 7 >= 3 AND b.vec_id % 7 >= 3)
+QUALIFY "Rank" <= 5""",
     "resolution_prompt": f"""{_CONTEXT} SELECT item_id AS "Query_ID", md5({_prompt_sql("Solve.")}) AS "Prompt_Hash"
 FROM q JOIN context USING (item_id)""",
     "resolve_tickets": f"""{_CONTEXT} SELECT item_id AS "Query_ID",
