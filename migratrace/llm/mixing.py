@@ -90,12 +90,13 @@ def drawn_slots(sources: DataFrame, *, block: int = BLOCK, shard: int = SHARD, r
     not used, and missing ones form a last shard, so that each source gets as
     many slots as its target needs, whatever was drawn, and at most ``repeats``
     passes.  ``words`` is how many of the block's first words the slot takes:
-    all, but for the last slot of a source, which takes what its target lacks.
+    all, but for the last three slots of a source, which take what its target lacks.
     """
     spark = sources.sparkSession
     n = F.ceil(F.col("source_size") / block).cast("long")
-    full = F.least(n * repeats, F.ceil(F.try_divide(F.col("target") * n, F.col("source_size").cast("double"))).cast("long"))
-    wanted = sources.select("sid", n.alias("n"), full.alias("wanted")).where("wanted > 0")
+    enough = F.ceil(F.try_divide(F.col("target") * n, F.col("source_size").cast("double"))).cast("long") + 1
+    full = F.least(n * repeats, enough)
+    wanted = sources.select("sid", n.alias("n"), full.alias("wanted"), "target").where("wanted > 0 AND target > 0")
     below = W.partitionBy(F.lit(0)).orderBy("sid").rowsBetween(W.unboundedPreceding, -1)
     cdf = wanted.select("sid", "n", "wanted", F.coalesce(F.sum("wanted").over(below), F.lit(0)).alias("low"))
     cdf = materialize(cdf.withColumn("high", F.col("low") + F.col("wanted")), "draw-bounds")
@@ -128,13 +129,17 @@ def drawn_slots(sources: DataFrame, *, block: int = BLOCK, shard: int = SHARD, r
     slots = materialize(_permuted(slots, seed).select("shard", "sid", "slot", "pass", "block"), "slots")
     ends = sources.select("sid", n.alias("n"), full.alias("wanted"), "source_size", "target")
     slots = slots.join(ends, "sid").withColumn(
-        "words", F.when(F.col("block") == F.col("n") - 1, F.col("source_size") - (F.col("n") - 1) * block).otherwise(block)
+        "words", F.when(F.col("block") == F.col("n") - 1, F.col("source_size") - (F.col("n") - 1) * block).otherwise(F.lit(block).cast("long"))
     )
-    final = F.col("slot") == F.col("wanted") - 1
-    others = materialize(slots.where(~final).groupBy("sid").agg(F.sum("words").alias("others")), "slot-words")
-    rest = F.round("target").cast("long") - F.coalesce("others", F.lit(0))
-    taken = F.when(final, F.greatest(F.lit(0), F.least("words", rest))).otherwise(F.col("words"))
-    return slots.join(others, "sid", "left").select("shard", "sid", "slot", "pass", "block", taken.alias("words"))
+    # the last three slots of a source make up for its short block: they take what the others leave of the target
+    tail = F.col("slot") >= F.col("wanted") - 3
+    others = materialize(slots.where(~tail).groupBy("sid").agg(F.sum("words").alias("others")), "slot-words")
+    before = F.coalesce(F.sum("words").over(W.partitionBy("sid").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rest = F.round("target").cast("long") - F.coalesce("others", F.lit(0)) - before
+    last = slots.where(tail).join(others, "sid", "left").withColumn("rest", rest)
+    last = last.withColumn("words", F.greatest(F.lit(0).cast("long"), F.least("words", "rest")))
+    columns = ["shard", "sid", "slot", "pass", "block", "words"]
+    return slots.where(~tail).select(*columns).unionByName(last.select(*columns))
 
 
 def _sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
@@ -196,8 +201,7 @@ def mix_report(docs: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
     size is the number of words of the whole text (null: 0), target the number
     of words its source is to give, taken how many of the document's words the
     mix has, repeats counted.  Words are runs of other characters than ASCII
-    white space.  Each source gives its target, but for rounding and what its
-    one short block makes out, no document is taken more than REPEATS times, and reruns agree.  Null keys and
+    white space.  Each source gives its target, rounded, no document is taken more than REPEATS times, and reruns agree.  Null keys and
     sources are values like others; repeated rows are documents of their own;
     an empty table gives no rows; other columns are not read.
     """
