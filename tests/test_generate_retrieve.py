@@ -40,16 +40,13 @@ def test_failures_keep_earlier_values(spark):
     assert got == {0: ("k0", "new", ""), 1: ("k1", "a1", ""), 2: ("k2", "a2", "r2"), 3: ("k3", "", "")}
 
 
-def test_prompt_samples_and_refusal(spark, monkeypatch):
+def test_prompt_samples(spark):
     catalog = spark.createDataFrame([(0, 5, 1.0, "k", "d"), (1, 9, 1.0, "k1", None), (-1, 99, 9.0, "n", "n")], "Cluster_ID int, Size long, Business_Priority double, Top_Keywords string, Primary_Domains string")
     tickets = spark.createDataFrame([(f"T{i:02d}", 0, None if i == 0 else f"s{i}") for i in range(14)], "Ticket_ID string, Cluster_ID int, Short_Description string")
     prompts = {r["Cluster_ID"]: r["Prompt"] for r in G.naming_prompts(catalog, tickets).collect()}
     assert set(prompts) == {0, 1}
     assert prompts[0].endswith("Samples:\n" + "\n".join(f"s{i}" for i in range(1, 11)) + "\n")
     assert [r["Cluster_ID"] for r in G.top_clusters(catalog, 1).collect()] == [1]
-    monkeypatch.setattr(G, "MAX_PROMPT_LINES", 1)
-    with pytest.raises(ValueError, match="do not fit"):
-        G._section(catalog, "clusters", ["Cluster_ID"], F.lit("x"))
 
 
 def corpus(spark, n=200, seed=2):
