@@ -35,11 +35,13 @@ PERCENT = 85
 #: Ratio of the largest to the smallest set size of a class; sets of a class are cut into equally many segments.
 CLASS_RATIO = 1.4
 #: Rows of one index list that a task looks through at once; a longer list goes out in parts, unskipped.
-LIST_ROWS = 1 << 14
+LIST_ROWS = 1 << 12
 #: Bits of the filter that keeps texts from being cut into sets again when no candidate needs them.
 FILTER_BITS = 1 << 23
-#: Rounds in which one set of each list is compared with the rest; then four times as many in each further round.
-SINGLE_ROUNDS = 4
+#: Rounds in which one set of each list is compared with the rest; then eight times as many in each further round.
+SINGLE_ROUNDS = 2
+#: A set with so few possible partners in a list is paired with them at once.
+FEW_PARTNERS = 8
 #: Ranges of the hash order whose counts bound an overlap before sets are fetched.
 RANGES = 256
 
@@ -180,7 +182,7 @@ def _lists(handle, profiled: bool):
 
     A list of more than LIST_ROWS rows goes out in parts, as it is.
     """
-    names = ["key", "node", "n", "pos"]
+    names = ["key", "node", "n", "pos", "other", "m"]
 
     def arrays(batch):
         rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
@@ -189,7 +191,9 @@ def _lists(handle, profiled: bool):
         return rows
 
     def out(rows):
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in rows[:4]], names=names)
+        columns = [pa.array(x) for x in rows[:4]]
+        columns += rows[4:] if len(rows) == 6 else [pa.nulls(len(columns[0]), t) for t in (pa.int64(), pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     def run(batches):
         held, parted = None, False  # rows of the open list; whether some of it went out before
@@ -203,16 +207,16 @@ def _lists(handle, profiled: bool):
             if cut:
                 first = int(np.searchsorted(rows[0], rows[0][0], "right")) if parted else 0
                 if first:
-                    yield out([x[:first] for x in rows])
+                    yield out([x[:first] for x in rows[:4]])
                 if cut > first:
                     yield out(handle([x[first:cut] for x in rows]))
                 parted = False
             held = [x[cut:] for x in rows]
             if len(held[0]) > LIST_ROWS:
-                yield out(held)
+                yield out(held[:4])
                 held, parted = [x[:0] for x in held], True
         if held is not None and len(held[0]):
-            yield out(held if parted else handle(held))
+            yield out(held[:4] if parted else handle(held))
 
     return run
 
@@ -257,37 +261,39 @@ def _skip(percent: int):
 
 
 def _split(percent: int):
-    """Cut each list where no two sets on both sides can link by their counts per range of the hash order.
+    """Take apart each list by what the counts per range of the hash order leave possible.
 
-    A set without any partner goes; the rest of a list falls into the groups
-    that are connected by possible links, each a list with a key of its own.
+    A set with at most FEW_PARTNERS possible partners in its list makes a pair
+    with each (key null, node, n, other, m); those with more stay a list, as
+    sets of one near-copy group do.
     """
 
     def handle(rows: list[np.ndarray]):
         key, node, n, pos, profile = rows
         size = n.astype(np.int64)
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        group = np.full(len(key), -1, np.int64)
+        stays = np.zeros(len(key), bool)
+        one: list[np.ndarray] = []
+        two: list[np.ndarray] = []
         for s, e in zip(start, np.append(start[1:], len(key)), strict=True):
-            rest, name = np.arange(s, e), 0
-            while len(rest):
-                stack, rest, members = [rest[0]], rest[1:], [rest[0]]
-                while stack and len(rest):
-                    i = stack.pop()
-                    most = np.minimum(profile[i], profile[rest]).sum(axis=1, dtype=np.int64)
-                    hit = most >= _enough(size[i], size[rest], percent)
-                    if hit.any():
-                        found = rest[hit].tolist()
-                        stack += found
-                        members += found
-                        rest = rest[~hit]
-                if len(members) > 1:
-                    group[members] = name
-                    name += 1
-        keep = group >= 0
-        with np.errstate(over="ignore"):
-            fresh = mix(key.view(np.uint64) ^ mix(group.astype(np.uint64))).view(np.int64)
-        return [fresh[keep], node[keep], n[keep], pos[keep]]
+            possible = np.zeros((e - s, e - s), bool)
+            for i in range(e - s - 1):
+                most = np.minimum(profile[s + i], profile[s + i + 1 : e]).sum(axis=1, dtype=np.int64)
+                possible[i, i + 1 :] = most >= _enough(size[s + i], size[s + i + 1 : e], percent)
+            degree = possible.sum(axis=0) + possible.sum(axis=1)
+            many = degree > FEW_PARTNERS
+            stays[s:e] = many
+            a, b = np.nonzero(possible & ~(many[:, None] & many[None, :]))
+            one.append(a + s)
+            two.append(b + s)
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (one, two))
+        low, high = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
+        none = len(a)
+        listed = [pa.array(x[stays]) for x in (key, node, n, pos)]
+        paired = [pa.nulls(none, pa.int64()), pa.array(node[low]), pa.array(n[low]), pa.nulls(none, pa.int32())]
+        columns = [pa.concat_arrays([x, y]) for x, y in zip(listed, paired, strict=True)]
+        extra = [(node[high], pa.int64()), (n[high], pa.int32())]
+        return columns + [pa.concat_arrays([pa.nulls(int(stays.sum()), t), pa.array(x, t)]) for x, t in extra]
 
     return _lists(handle, True)
 
@@ -395,12 +401,15 @@ def jaccard_components(
         .select(F.col("e.keys").alias("key"), "node", "n", F.col("e.places").alias("pos"))
     )
     indexed = rows.repartition("key").sortWithinPartitions("key", "n", "pos", "node")
-    columns = "key long, node long, n int, pos int"
-    lists = materialize(indexed.mapInArrow(_skip(percent), columns), "lists")
+    columns = "key long, node long, n int, pos int, other long, m int"
+    lists = materialize(indexed.mapInArrow(_skip(percent), columns).select("key", "node", "n", "pos"), "lists")
     counted = lists.join(nodes.select("node", "profile"), "node").select("key", "node", "n", "pos", "profile")
     ordered = counted.repartition("key").sortWithinPartitions("key", "node")
-    lists = materialize(ordered.mapInArrow(_split(percent), columns), "split-lists")
-    labels = _link_lists(texts, lists, nodes, size, percent)
+    split = materialize(ordered.mapInArrow(_split(percent), columns), "split-lists")
+    lists = split.where("key IS NOT NULL").select("key", "node", "n", "pos")
+    pairs = split.where("key IS NULL").groupBy(F.col("node").alias("a"), F.col("other").alias("b"))
+    pairs = pairs.agg(F.count("*").alias("votes"), F.first("n").alias("n_a"), F.first("m").alias("n_b"))
+    labels = _link_lists(texts, lists, materialize(pairs, "few"), nodes, size, percent)
     reached = labels.join(nodes, "node").groupBy("label").agg(F.min("doc").alias("least"))
     joined = labels.join(reached, "label").select("node", "least")
     placed = materialize(
@@ -414,10 +423,11 @@ def jaccard_components(
     )
 
 
-def _link_lists(texts: DataFrame, lists: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, label) of every node with a link, found list by list."""
+def _link_lists(texts: DataFrame, lists: DataFrame, few: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, label) of every node with a link: hubs first, then pairs of sets with few partners, then the lists."""
     spark = lists.sparkSession
-    some = lists.select("node").distinct().join(nodes, "node").select("node", "doc")
+    named = lists.select("node").unionByName(few.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    some = materialize(named.join(nodes, "node").select("node", "doc"), "candidates")
     sets = materialize(_candidate_sets(texts, some, size), "candidate-sets")
 
     # the hub of a set: the smallest set of most of its lists
@@ -426,36 +436,61 @@ def _link_lists(texts: DataFrame, lists: DataFrame, nodes: DataFrame, size: int,
     mine = lists.select("key", "node", F.col("n").alias("n_own"), F.col("pos").alias("pos_own"))
     votes = mine.join(least, "key").where("node <> hub").where(_fits("own", "hub", percent))
     votes = votes.groupBy("node", "hub").agg(F.count("*").alias("votes"), F.first("n_own").alias("n"), F.first("n_hub").alias("n_hub"))
+    votes = votes.unionByName(few.select(F.col("b").alias("node"), F.col("a").alias("hub"), "votes", F.col("n_b").alias("n"), F.col("n_a").alias("n_hub")))
     best = votes.groupBy("node").agg(F.max(F.struct("votes", "hub", "n", "n_hub")).alias("v"))
     best = best.select(F.col("node").alias("b"), F.col("v.hub").alias("a"), F.col("v.n").alias("n"), F.col("v.n_hub").alias("n_hub"))
     hubs = materialize(_overlaps(best, sets).select(F.col("b").alias("node"), F.col("a").alias("hub"), "n", "n_hub", "shared"), "hubs")
     links = hubs.where(_linked(F.col("shared"), F.col("n"), F.col("n_hub"), percent)).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    if not links.limit(1).count() and not lists.limit(1).count():
+    if not hubs.limit(1).count():
         return spark.createDataFrame([], "node long, label long")
     labels = materialize(components(links), "labels")
 
     known = hubs.select("node", "hub", F.col("shared").alias("in_hub"), "n_hub")
     tried = materialize(hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")), "tried")
+
+    def placed(frame: DataFrame, *columns: str) -> DataFrame:
+        """Rows of sets with their labels and overlaps with their hubs; a hub is its own."""
+        return frame.join(labels, "node", "left").join(known, "node", "left").select(
+            *columns, "node", "n",
+            F.coalesce("label", "node").alias("label"),
+            F.coalesce("hub", "node").alias("hub"),
+            F.coalesce("in_hub", F.col("n").cast("long")).alias("in_hub"),
+            F.coalesce("n_hub", "n").alias("n_hub"),
+        )
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The links among ``pairs`` of rows (suffixes _a and _b): by their bounds, or else by comparison."""
+        common = F.col("hub_a") == F.col("hub_b")
+        rest_a, rest_b = F.col("n_a") - F.col("in_hub_a"), F.col("n_b") - F.col("in_hub_b")
+        most = F.when(common, F.least("in_hub_a", "in_hub_b") + F.least(rest_a, rest_b)).otherwise(F.least("n_a", "n_b"))
+        fewest = F.when(common, F.col("in_hub_a") + F.col("in_hub_b") - F.col("n_hub_a")).otherwise(F.lit(0))
+        open_ = pairs.where(_linked(most, F.col("n_a"), F.col("n_b"), percent)).select(
+            F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").cast("int").alias("n_a"), F.col("n_b").cast("int").alias("n_b"),
+            _linked(fewest, F.col("n_a"), F.col("n_b"), percent).alias("sure"),
+        )
+        nonlocal tried
+        open_ = materialize(open_.dropDuplicates(["a", "b"]).join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(open_.select("a", "b"))
+        near = materialize(_possible(open_.where("NOT sure"), nodes, percent), "near")
+        compared = _overlaps(near, sets).where(_linked(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
+        return materialize(open_.where("sure").select("a", "b").unionByName(compared.select("a", "b")), "links")
+
+    def extend(fresh: DataFrame) -> None:
+        nonlocal links, labels
+        if fresh.limit(1).count():
+            links = links.unionByName(fresh)
+            labels = materialize(components(links), "labels")
+
+    def side(name: str, *columns: str) -> DataFrame:
+        own = placed(few.select(F.col(name).alias("node"), F.col(f"n_{name}").alias("n"), *columns).distinct(), *columns)
+        return own.select(*columns, *(F.col(c).alias(f"{c}_{name}") for c in own.columns if c not in columns))
+
+    extend(linked(side("a", "b").withColumnRenamed("b", "node_b").join(side("b"), "node_b").where("label_a <> label_b")))
     left, turn = lists, 0
     while True:
         turn += 1
-        leaders = 4 ** max(0, turn - SINGLE_ROUNDS)
-        # what is left of each list, with labels and overlaps with the hub; a hub is its own
-        open_rows = (
-            left.join(labels, "node", "left")
-            .join(known, "node", "left")
-            .select(
-                "key",
-                "node",
-                "n",
-                "pos",
-                F.coalesce("label", "node").alias("label"),
-                F.coalesce("hub", "node").alias("hub"),
-                F.coalesce("in_hub", F.col("n").cast("long")).alias("in_hub"),
-                F.coalesce("n_hub", "n").alias("n_hub"),
-            )
-        )
-        open_rows = materialize(open_rows, "open")
+        leaders = 8 ** max(0, turn - SINGLE_ROUNDS)
+        open_rows = materialize(placed(left, "key", "pos"), "open")
         mixed = open_rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
         open_rows = materialize(open_rows.join(mixed, "key"), "mixed")
         if not open_rows.limit(1).count():
@@ -466,20 +501,5 @@ def _link_lists(texts: DataFrame, lists: DataFrame, nodes: DataFrame, size: int,
         a = leads.select("key", *(F.col(c).alias(f"{c}_a") for c in leads.columns if c != "key"))
         b = open_rows.select("key", *(F.col(c).alias(f"{c}_b") for c in leads.columns if c != "key"))
         pairs = a.join(b, "key").where("node_a < node_b AND label_a <> label_b").where(_fits("a", "b", percent))
-        common = F.col("hub_a") == F.col("hub_b")
-        rest_a, rest_b = F.col("n_a") - F.col("in_hub_a"), F.col("n_b") - F.col("in_hub_b")
-        most = F.when(common, F.least("in_hub_a", "in_hub_b") + F.least(rest_a, rest_b)).otherwise(F.least("n_a", "n_b"))
-        fewest = F.when(common, F.col("in_hub_a") + F.col("in_hub_b") - F.col("n_hub_a")).otherwise(F.lit(0))
-        pairs = pairs.where(_linked(most, F.col("n_a"), F.col("n_b"), percent)).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").cast("int").alias("n_a"), F.col("n_b").cast("int").alias("n_b"),
-            _linked(fewest, F.col("n_a"), F.col("n_b"), percent).alias("sure"),
-        )
-        pairs = materialize(pairs.dropDuplicates(["a", "b"]).join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(pairs.select("a", "b"))
-        near = materialize(_possible(pairs.where("NOT sure"), nodes, percent), "near")
-        compared = _overlaps(near, sets).where(_linked(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
-        fresh = materialize(pairs.where("sure").select("a", "b").unionByName(compared.select("a", "b")), "links")
-        if fresh.limit(1).count():
-            links = links.unionByName(fresh)
-            labels = materialize(components(links), "labels")
+        extend(linked(pairs))
         left = open_rows.select("key", "node", "n", "pos").join(leads.select("key", "node"), ["key", "node"], "left_anti")
