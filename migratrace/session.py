@@ -9,21 +9,24 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+LOCAL_FOLDER = "/tmp/checkpoints"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without the setting; it then gets a temporary
-    folder.  On a cluster the folder has to be one that every executor sees.
+    Only a session with driver and executors in one process may go without the
+    setting; it then gets LOCAL_FOLDER.  On a cluster the folder has to be one
+    that every executor sees.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+    master = spark.conf.get("spark.master", "") or ""
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="migratrace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.conf.set("spark.checkpoint.dir", LOCAL_FOLDER)
+    return LOCAL_FOLDER
 
 
 def own_folder(spark: SparkSession) -> str:
