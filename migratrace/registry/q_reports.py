@@ -45,6 +45,7 @@ QUERIES = {
     "monthly_volume": _over_tickets(R.monthly_volume),
     "cumulative_volume": _over_tickets(R.cumulative_volume),
     "cluster_timeline": _over_tickets(R.cluster_timeline),
+    "cluster_timeline_all": _over_tickets(lambda tickets: R.cluster_timeline(tickets, over=None)),
     "domain_volume": _over_tickets(R.domain_volume),
     "severity_distribution": _over_tickets(R.severity_distribution),
     "reopen_rates": _over_tickets(R.reopen_rates),
@@ -62,6 +63,7 @@ QUERIES = {
     "cluster_card": cluster_card,
     "cluster_labels": _over_catalog(R.cluster_labels),
     "cluster_samples": _over_tickets(R.cluster_samples),
+    "cluster_samples_detail": _over_tickets(lambda tickets: R.cluster_samples(tickets, R.DETAIL_SAMPLES)),
     "verdict_badge": verdict_badge,
 }
 
@@ -106,6 +108,11 @@ SQL = {
         WHERE {_TWO} AND "Cluster_ID" <> -1
         AND "Cluster_ID" IN (SELECT "Cluster_ID" FROM clustered GROUP BY 1 HAVING count(*) > 5) GROUP BY 1, 2, 3""",
     ),
+    "cluster_timeline_all": with_views(
+        "clustered",
+        f"""SELECT "Cluster_ID", {_MONTH} AS "YearMonth", "System_Type", count(*) AS "Count" FROM clustered
+        WHERE {_TWO} AND "Cluster_ID" <> -1 GROUP BY 1, 2, 3""",
+    ),
     "domain_volume": with_views(
         "clustered", f'SELECT "Domain", "System_Type", count(*) AS "Count" FROM clustered WHERE {_TWO} GROUP BY 1, 2'
     ),
@@ -219,6 +226,12 @@ SQL = {
         "Ticket_ID", "System_Type", "System_Subtype", "Domain", "Short_Description", "Severity", "Reopen_Flag" FROM clustered)
         WHERE "Position" <= 5""",
     ),
+    "cluster_samples_detail": with_views(
+        "clustered",
+        """SELECT * FROM (SELECT "Cluster_ID", CAST(row_number() OVER (PARTITION BY "Cluster_ID" ORDER BY "Ticket_ID") AS INTEGER) AS "Position",
+        "Ticket_ID", "System_Type", "System_Subtype", "Domain", "Short_Description", "Severity", "Reopen_Flag" FROM clustered)
+        WHERE "Position" <= 15""",
+    ),
     "verdict_badge": """WITH v AS (SELECT DISTINCT CASE o_orderstatus WHEN 'F' THEN 'DBB_REDUCED_ISSUES' WHEN 'O' THEN 'MIXED_RESULTS'
         ELSE 'NOT_LISTED' END AS verdict FROM orders)
         SELECT verdict AS "Verdict", CASE verdict WHEN 'DBB_REDUCED_ISSUES' THEN 'Green' WHEN 'MIXED_RESULTS' THEN 'Yellow' ELSE 'Grey' END AS "Colour",
