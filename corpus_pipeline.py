@@ -19,6 +19,10 @@ from migratrace.llm.pieces import encode_documents
 from migratrace.llm.queries import model_bytes
 from migratrace.llm.set_join import jaccard_components
 
+#: Near copies of the stage: word shingles of this length, and the least percentage of them that two texts share.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` under names that clash with nothing, and the new name of each column."""
@@ -53,10 +57,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: that with the smallest id.
 
+    Near duplicates share NEAR_PERCENT of their NEAR_SHINGLE-word shingles; op2's own contract binds only op2.
     Rows that repeat an id are one document, of which the first text by hash
     stays; rows without an id are in no group and all stay.
     """
-    groups = jaccard_components(docs)
+    groups = jaccard_components(docs, size=NEAR_SHINGLE, percent=NEAR_PERCENT)
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
     plain, names = _plain(docs)
     key, text = names["doc_id"], names["text"]
