@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 
 from migratrace.llm.common import slices
 from migratrace.llm.textscan import buffers, mix, per_row, word_bounds, word_hashes
-from migratrace.session import ship_package
+from migratrace.session import materialize, ship_package
 
-#: The bounded samples that the classifiers are fitted on: labelled rows and rows of the unlabelled pool, about.
+#: The bounded sample of labelled rows, about; all rows without a label take part in the exchange.
 LABELLED_ROWS = 20_000
-POOL_ROWS = 6_000
 ROUNDS = 4
-#: Pseudo-labels that a view hands over per round and class, as a share of the pool, and their least confidence.
+#: Pseudo-labels that a view hands over per round and class, as a share of the rows it has not handed over yet,
+#: and their least confidence.
 HANDED = 0.05
 CONFIDENT = 0.95
+#: Steps of the confidence (as a logit from CONFIDENT up to LARGEST) in which rows are counted to find that share.
+STEPS = 1 << 12
+LARGEST = 35.0
 WORD_BUCKETS = 1 << 18
 NAME_BUCKETS = 256
 BINS = 12
@@ -144,11 +147,8 @@ def _evidence(odds: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _fit_text(rows: list[np.ndarray], y: np.ndarray) -> TextView:
-    counts = np.zeros((2, WORD_BUCKETS))
-    for r, label in zip(rows, y, strict=True):
-        counts[label, r] += 1
-    total = np.bincount(y, minlength=2).astype(float)
+def _fit_text(rows: list[np.ndarray], y: np.ndarray, counts: np.ndarray, total: np.ndarray) -> TextView:
+    """From the documents of either class (``total``) and those with each word (``counts``), ``rows`` among them."""
 
     def odds(bad, good, n_bad, n_good):
         # words seen a few times say nothing yet
@@ -172,16 +172,157 @@ def _places(edges, numbers, names):
         yield NUMBERS * BINS + j * NAME_BUCKETS, names[:, j]
 
 
-def _fit_meta(numbers: np.ndarray, names: np.ndarray, y: np.ndarray) -> MetaView:
-    edges = np.quantile(numbers, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    width = NUMBERS * BINS + names.shape[1] * NAME_BUCKETS
-    at = np.stack([column + place for column, place in _places(edges, numbers, names)], axis=1)
+def _at(edges: np.ndarray, numbers: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """The columns of each row's features in the one-hot table of the metadata view."""
+    return np.stack([column + place for column, place in _places(edges, numbers, names)], axis=1).astype(np.int32)
+
+
+def _slopes(at: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sums over rows for a Newton step at ``w``: first derivatives, second derivatives (flat) and the number of rows."""
     used, index = np.unique(at, return_inverse=True)
-    x = np.zeros((len(y), len(used)), np.float32)
+    x = np.zeros((len(y), len(used) + 1))
     x[np.arange(len(y))[:, None], index.reshape(at.shape)] = 1
-    weights = np.zeros(width + 1)
-    weights[np.append(used, width)] = _logistic(x, y, ridge=3e-3)
-    return MetaView(edges, weights)
+    x[:, -1] = 1
+    used = np.append(used, len(w) - 1)
+    p = _sigmoid(x @ w[used])
+    first, second = np.zeros(len(w)), np.zeros((len(w), len(w)))
+    first[used] = x.T @ (p - y)
+    second[np.ix_(used, used)] = (x * (p * (1 - p))[:, None]).T @ x
+    return np.concatenate([first, second.reshape(-1), [len(y)]])
+
+
+def _fit_meta(edges: np.ndarray, at: np.ndarray, y: np.ndarray, handed: DataFrame | None, w: np.ndarray, ridge: float = 3e-3) -> MetaView:
+    """A logistic regression over the rows ``at`` and all rows of ``handed`` (at, label), from ``w`` on by Newton steps.
+
+    The rows of ``handed`` stay on Spark; their sums, of a fixed size, are added to those of ``at``.
+    """
+    for _ in range(25):
+        sums = _slopes(at, y, w)
+        if handed is not None:
+
+            def run(batches, w=w):
+                out = np.zeros(len(w) * (len(w) + 1) + 1)
+                for batch in batches:
+                    if batch.num_rows:
+                        rows = batch.column("at").flatten().to_numpy().reshape(batch.num_rows, -1)
+                        out += _slopes(rows, batch.column("label").to_numpy(), w)
+                yield _nonzero(out)
+
+            sums = sums + _sums(handed.mapInArrow(run, "place long, n double"), len(sums))
+        first, second, n = sums[: len(w)], sums[len(w) : -1].reshape(len(w), -1), sums[-1]
+        slope = first / n + ridge * np.append(w[:-1], 0)
+        move = np.linalg.solve(second / n + np.diag(np.append(np.full(len(w) - 1, ridge), 0) + 1e-9), slope)
+        w = w - move * min(1.0, 5 / max(np.abs(move).max(), 1e-9))
+        if np.abs(move).max() < 1e-4:
+            break
+    return MetaView(edges, w)
+
+
+class Exchange(NamedTuple):
+    """A round: its views, and per view and class the least confidence (a logit) that is handed over."""
+
+    text: TextView
+    meta: MetaView
+    least: np.ndarray
+
+    def logits(self, words: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+        z = np.stack([self.text.logit(words), self.meta.weights[at].sum(axis=1) + self.meta.weights[-1]], axis=1)
+        return np.round(np.clip(z, -LARGEST, LARGEST), 6)
+
+
+def _offered(z: np.ndarray, given: np.ndarray) -> np.ndarray:
+    """Confidence per row, view and class of what a view may hand over; -inf for the rest."""
+    sure = np.stack([-z, z], axis=2)
+    # a view that leans to the opposite is not overruled
+    leans = np.stack([z < 0, z >= 0], axis=2)[:, ::-1]
+    return np.where((sure >= np.log(CONFIDENT / (1 - CONFIDENT))) & leans & ~given[:, :, None], sure, -np.inf)
+
+
+def _pool_batch(batch: pa.RecordBatch, past: list[Exchange]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Words and features of pool rows, and which view handed them over in ``past`` rounds."""
+    lists = batch.column("words")
+    bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    words = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    at = batch.column("at").flatten().to_numpy().reshape(batch.num_rows, -1)
+    given = np.zeros((batch.num_rows, 2), bool)
+    for turn in past:
+        given |= (_offered(turn.logits(words, at), given) >= turn.least).any(axis=2)
+    return words, at, given
+
+
+def _steps(sure: np.ndarray) -> np.ndarray:
+    low = np.log(CONFIDENT / (1 - CONFIDENT))
+    return np.clip((sure - low) / (LARGEST - low) * STEPS, 0, STEPS - 1).astype(np.int64)
+
+
+def _sums(frame: DataFrame, size: int) -> np.ndarray:
+    """The sums, of a fixed size, of what all partitions counted (place, n)."""
+    found = frame.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size)
+    out[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _nonzero(counts: np.ndarray) -> pa.RecordBatch:
+    place = np.flatnonzero(counts)
+    return pa.RecordBatch.from_arrays([pa.array(place), pa.array(counts[place], pa.float64())], names=["place", "n"])
+
+
+def _least_handed(pool: DataFrame, past: list[Exchange], text: TextView, meta: MetaView) -> np.ndarray:
+    """Per view and class the confidence that the surest HANDED of the rows not handed over yet reach."""
+    none = Exchange(text, meta, np.full((2, 2), np.inf))
+
+    def run(batches):
+        counts, left = np.zeros((2, 2, STEPS), np.int64), np.zeros(2, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                words, at, given = _pool_batch(batch, past)
+                left += (~given).sum(axis=0)
+                sure = _offered(none.logits(words, at), given)
+                row, view, label = np.nonzero(np.isfinite(sure))
+                np.add.at(counts, (view, label, _steps(sure[row, view, label])), 1)
+        yield _nonzero(np.append(counts.reshape(-1), left))
+
+    found = _sums(pool.mapInArrow(run, "place long, n double"), 4 * STEPS + 2)
+    least = np.full((2, 2), np.inf)
+    low = np.log(CONFIDENT / (1 - CONFIDENT))
+    for view in range(2):
+        most = int(HANDED * found[4 * STEPS + view])
+        for label in range(2):
+            n = found[: 4 * STEPS].reshape(2, 2, STEPS)[view, label]
+            above = np.cumsum(n[::-1])[::-1]
+            if most and above[0]:
+                # rows of one step go together
+                step = int(np.flatnonzero(above >= min(most, above[0]))[-1])
+                least[view, label] = low + step * (LARGEST - low) / STEPS if step else low
+    return least
+
+
+def _handed_over(pool: DataFrame, past: list[Exchange], turn: Exchange) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """What the round hands over: to the text view documents with each word and documents per class, to the other rows (at, label)."""
+
+    def run(batches):
+        counts, total = np.zeros((2, WORD_BUCKETS), np.int64), np.zeros(2, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                words, at, given = _pool_batch(batch, past)
+                handed = _offered(turn.logits(words, at), given) >= turn.least
+                for label in range(2):
+                    by_text, by_meta = (np.flatnonzero(handed[:, view, label]) for view in range(2))
+                    total[label] += len(by_meta)
+                    if len(by_meta):
+                        counts[label] += np.bincount(np.concatenate([words[i] for i in by_meta]), minlength=WORD_BUCKETS)
+                    if len(by_text):
+                        n = len(by_text)
+                        columns = [pa.array(list(at[by_text]), pa.list_(pa.int32())), pa.array(np.full(n, label, np.int32))]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64())], names=["at", "label", "place", "n"])
+        last = _nonzero(np.append(counts.reshape(-1), total))
+        empty = [pa.nulls(last.num_rows, t) for t in (pa.list_(pa.int32()), pa.int32())]
+        yield pa.RecordBatch.from_arrays([*empty, *last.columns], names=["at", "label", "place", "n"])
+
+    handed = materialize(pool.mapInArrow(run, "at array<int>, label int, place long, n double"), "handed")
+    found = _sums(handed.where("place IS NOT NULL"), 2 * WORD_BUCKETS + 2)
+    return found[:-2].reshape(2, -1), found[-2:], handed.where("place IS NULL").select("at", "label")
 
 
 def fit_quality_model(
@@ -191,33 +332,31 @@ def fit_quality_model(
     key: str = "doc_id",
     rounds: int = ROUNDS,
     labelled_rows: int = LABELLED_ROWS,
-    pool_rows: int = POOL_ROWS,
     seed: int = 17,
 ) -> QualityModel | None:
     """A model of ``labels`` (key, quality, toxic), or None unless both classes occur.
 
     Good is quality 1 and toxic 0; a key with several rows is good if all are;
-    rows with a null are no labels.  The classifiers see bounded samples, drawn
-    by a hash of the key: about ``labelled_rows`` labelled documents, and about
-    ``pool_rows`` without a label.  In each round both views are fitted, and
-    each hands the pool rows it is surest of, of either class, to the other as
-    labels.  A fifth of the labelled sample is kept from this: on it the logits
-    of each view are calibrated and the views combined.
+    rows with a null are no labels.  Of the labelled documents about
+    ``labelled_rows`` are taken, by a hash of the key; of those without a label
+    all, also those with a null key.  In each round both views are fitted, and
+    each hands the documents it is surest of, of either class, and has not
+    handed over yet, to the other as labels.  Their words and features are
+    stored once and scored on Spark in every round; only sums of a fixed size
+    reach the driver.  A fifth of the labelled sample is kept from this: on it
+    the logits of each view are calibrated and the views combined.
     """
     ship_package(docs.sparkSession)
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     known = labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy(F.col(key).alias("id")).agg(F.min(good.cast("int")).alias("y"))
     share = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20))
-    n_labels, n_docs = known.count(), docs.count()
-    if not n_labels or not n_docs:
+    n_labels = known.count()
+    if not n_labels:
         return None
     chosen = known.where(share < -(-labelled_rows * (1 << 20) // n_labels))
-    ids = docs.select(F.col(key).alias("id")).where(F.col("id").isNotNull())
-    cut = -(-pool_rows * (1 << 20) // n_docs)
-    pool = ids.where(share < cut).join(known.where(share < cut), "id", "left_anti").select("id", F.lit(-1).alias("y")).distinct()
-    # both sides are samples of a set size
-    wanted = F.broadcast(chosen.unionByName(pool))
+    # a sample of a set size
+    wanted = F.broadcast(chosen)
     picked = _picked(docs, key).join(wanted, F.col("key_in") == F.col("id")).select("text_in", "source_in", "lang_in", "n_chars_in", "y", "id")
 
     def run(batches):
@@ -238,30 +377,39 @@ def fit_quality_model(
     numbers = rows.column("numbers").combine_chunks().flatten().to_numpy().reshape(-1, NUMBERS)
     names = rows.column("names").combine_chunks().flatten().to_numpy().reshape(-1, 2)
     draw = np.random.Generator(np.random.PCG64(seed))
-    labelled = draw.permutation(np.flatnonzero(y >= 0))
+    labelled = draw.permutation(len(y))
     held, base = labelled[: len(labelled) // 5], labelled[len(labelled) // 5 :]
     if len(set(y[base])) < 2 or len(set(y[held])) < 2:
         return None
-    unlabelled = np.flatnonzero(y < 0)
-    given = {"text": dict(zip(base, y[base], strict=True)), "meta": dict(zip(base, y[base], strict=True))}
-
-    def fitted():
-        t, m = (np.array(list(given[v])) for v in ("text", "meta"))
-        text = _fit_text([words[i] for i in t], np.array([given["text"][i] for i in t]))
-        return text, _fit_meta(numbers[m], names[m], np.array([given["meta"][i] for i in m]))
-
-    text, meta = fitted()
-    for _ in range(rounds if len(unlabelled) else 0):
-        logits = {"text": text.logit([words[i] for i in unlabelled]), "meta": meta.logit(numbers[unlabelled], names[unlabelled])}
-        for view, other in (("text", "meta"), ("meta", "text")):
-            p = _sigmoid(logits[view])
-            for label, sure in ((1, p), (0, 1 - p)):
-                best = np.argsort(-sure, kind="stable")[: int(HANDED * len(unlabelled))]
-                for i in best[sure[best] >= CONFIDENT]:
-                    # a view that leans to the opposite is not overruled
-                    if (logits[other][i] >= 0) == bool(label):
-                        given[other].setdefault(unlabelled[i], label)
-        text, meta = fitted()
+    edges = np.quantile(numbers[base], np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
+    at, told, own = _at(edges, numbers, names)[base], y[base], [words[i] for i in base]
+    width = NUMBERS * BINS + names.shape[1] * NAME_BUCKETS
+
+    def features(batches):
+        for part in slices(batches, "text_in"):
+            distinct, *rest = _views(part)
+            arrays = [part.column("key_in"), pa.array(distinct, pa.list_(pa.int32())), pa.array(list(_at(edges, *rest)), pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "words", "at"])
+
+    # the texts stay where they are; only their words and features may move
+    pool = _picked(docs, key).mapInArrow(features, f"id {kind}, words array<int>, at array<int>")
+    pool = materialize(pool.join(known.select("id"), "id", "left_anti").select("words", "at"), "pool")
+
+    counts, total = np.zeros((2, WORD_BUCKETS)), np.bincount(told, minlength=2).astype(float)
+    for r, label in zip(own, told, strict=True):
+        counts[label, r] += 1
+    text, meta = _fit_text(own, told, counts, total), _fit_meta(edges, at, told, None, np.zeros(width + 1))
+    past: list[Exchange] = []
+    handed = None
+    for _ in range(rounds):
+        turn = Exchange(text, meta, _least_handed(pool, past, text, meta))
+        if not np.isfinite(turn.least).any():
+            break
+        more, documents, rows = _handed_over(pool, past, turn)
+        counts, total = counts + more, total + documents
+        handed = rows if handed is None else handed.unionByName(rows)
+        past.append(turn)
+        text, meta = _fit_text(own, told, counts, total), _fit_meta(edges, at, told, handed, meta.weights)
     z = np.stack([text.logit([words[i] for i in held]), meta.logit(numbers[held], names[held])], axis=1)
     calibration = np.array([_logistic(z[:, [j]], y[held], ridge=1e-2) for j in range(2)])
     calibrated = _both(z * calibration[:, 0] + calibration[:, 1])
