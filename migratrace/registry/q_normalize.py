@@ -9,7 +9,6 @@ from migratrace.functions.columns import col, date_formats, month_start, parse_t
 from migratrace.operators.normalize import (
     migration_dates,
     normalize,
-    resolution_notes,
     time_to_resolve,
     with_days_from_migration,
     with_severity,
@@ -36,12 +35,12 @@ def normalize_canonical(spark, folder):
 
 def canonical_texts(spark, folder):
     """Whole texts of the canonical ticket, null parts included."""
-    df = raw_tickets(spark, folder, texts=True)
-    return df.select(
-        col(N.NUMBER).alias("Ticket_ID"),
-        F.length(F.coalesce(col(N.DESCRIPTION), F.lit(""))).cast("long").alias("Description_Length"),
-        F.md5(F.coalesce(col(N.DESCRIPTION), F.lit(""))).alias("Description_Hash"),
-        F.md5(resolution_notes(col(N.CLOSE_NOTES), col(N.COMMENTS))).alias("Notes_Hash"),
+    description, notes = col("Description_Text"), col("Resolution_Notes")
+    return canonical_tickets(spark, folder, texts=True).select(
+        "Ticket_ID",
+        F.length(description).cast("long").alias("Description_Length"),
+        F.md5(description).alias("Description_Hash"),
+        F.md5(notes).alias("Notes_Hash"),
     )
 
 
