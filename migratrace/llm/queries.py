@@ -9,8 +9,11 @@ from migratrace.llm.common import new_folder, table
 from migratrace.llm.cotrain import fit_quality_model, score_documents
 from migratrace.llm.counts import token_counts
 from migratrace.llm.lang_id import fit_language_model, identify
+from migratrace.llm.lexical import ranked_search
 from migratrace.llm.line_dedup import keep_bitmaps, line_report
+from migratrace.llm.merkle import lower_cased_text, merkle_manifest
 from migratrace.llm.mixing import mix_report
+from migratrace.llm.packing import pack_documents
 from migratrace.llm.pieces import encode_documents
 from migratrace.llm.quality_rules import quality_cascade
 from migratrace.llm.set_join import jaccard_components
@@ -18,17 +21,18 @@ from migratrace.llm.topk import top_inner_products
 from migratrace.llm.warc import archive_report, write_archive
 
 MODEL = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 4096
 
 
-def model_path() -> str:
+def model_path(name: str = MODEL) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(MODEL)
+    return public_tokenizers.path(name)
 
 
-def model_bytes() -> bytes:
-    with open(model_path(), "rb") as f:
+def model_bytes(name: str = MODEL) -> bytes:
+    with open(model_path(name), "rb") as f:
         return f.read()
 
 
@@ -83,6 +87,19 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_inner_products(vectors.where(F.col("vec_id") % 50 == 0), vectors)
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), model_bytes(BYTE_BPE))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return merkle_manifest(docs, presented={"text": lower_cased_text(docs)})
+
+
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -181,6 +198,90 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS x
+  FROM benchmark
+), c AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM t WHERE len(w) > 0
+), e AS (
+  SELECT doc_id, len(w) AS n, unnest(w) AS x FROM t
+), f AS (
+  SELECT doc_id, n, x, count(*) AS tf FROM e GROUP BY doc_id, n, x
+), d AS (
+  SELECT x, count(*) AS df FROM f GROUP BY x
+), s AS (
+  SELECT item_id, doc_id,
+         sum(CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS score
+  FROM q JOIN f USING (x) JOIN d USING (x), c GROUP BY item_id, doc_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 20
+"""
+
+_OP13_SQL = """
+WITH RECURSIVE bits AS (
+  SELECT doc_id, list_reduce(
+           [4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+           lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))) AS c
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+), d AS (
+  SELECT doc_id, source, text, coalesce(xor(c, 4294967295) % 5 = 0, false) AS tampered, lang, n_chars
+  FROM documents LEFT JOIN bits USING (doc_id)
+), h AS (
+  SELECT doc_id, source, tampered,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+           || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+         text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM d
+), l AS (
+  SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         sha256(head || CASE WHEN tampered THEN coalesce(octet_length(encode(low)) || ':' || low, '-') ELSE coalesce(octet_length(encode(text)) || ':' || text, '-') END) AS shown
+  FROM h
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l
+), tree AS (
+  SELECT source, 0 AS level, i, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (n + 15) // 16 FROM tree WHERE n > 1 GROUP BY source, level, i // 16, n
+), subroots AS (
+  SELECT source, level AS depth, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM tree WHERE n = 1
+), over_ AS (
+  SELECT 0 AS level, i, digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 16, sha256(string_agg(digest, '' ORDER BY i)), (n + 15) // 16 FROM over_ WHERE n > 1 GROUP BY level, i // 16, n
+), inner_sides AS (
+  SELECT source, level, i, coalesce(string_agg(digest, '' ORDER BY i) OVER (PARTITION BY source, level, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(digest, '' ORDER BY i) OVER (PARTITION BY source, level, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM tree WHERE n > 1
+), outer_sides AS (
+  SELECT level, i, coalesce(string_agg(digest, '' ORDER BY i) OVER (PARTITION BY level, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(digest, '' ORDER BY i) OVER (PARTITION BY level, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM over_ WHERE n > 1
+), sides AS (
+  SELECT t.source, t.i, level, before, after FROM inner_sides t
+  UNION ALL
+  SELECT t.source, NULL, t.depth + level, before, after FROM subroots t, outer_sides s
+  WHERE s.i = t.i >> CAST(4 * s.level AS BIGINT)
+), walk AS (
+  SELECT doc_id, source, i, i AS at, leaf, shown, shown AS cur, '' AS proof, 0 AS level FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.source, w.i, w.at // 16, w.leaf, w.shown, sha256(s.before || w.cur || s.after), w.proof || s.before || s.after, w.level + 1
+  FROM walk w JOIN sides s ON s.source IS NOT DISTINCT FROM w.source AND s.level = w.level AND (s.i = w.at OR s.i IS NULL)
+), last AS (
+  SELECT * FROM (SELECT *, max(level) OVER () AS top FROM walk) QUALIFY row_number() OVER (PARTITION BY source, i ORDER BY level DESC) = 1
+)
+SELECT w.doc_id, w.leaf, t.digest AS subroot, r.digest AS root, sha256(w.proof) AS proof_sha256, w.cur AS folded_root, w.cur = r.digest AS verified
+FROM last w JOIN subroots t ON t.source IS NOT DISTINCT FROM w.source, (SELECT digest FROM over_ WHERE n = 1) r
+"""
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_jaccard_join": op2_jaccard_join,
@@ -192,5 +293,16 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_topk": op10_topk,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_packing": op12_packing,
+    "op13_merkle": op13_merkle,
+}
+SQL: dict[str, str] = {
+    "op1_warc": _OP1_SQL,
+    "op2_jaccard_join": _OP2_SQL,
+    "op5_quality_rules": _OP5_SQL,
+    "op7_line_dedup": _OP7_SQL,
+    "op10_topk": _OP10_SQL,
+    "op11_lexical_search": _OP11_SQL,
+    "op13_merkle": _OP13_SQL,
 }
-SQL: dict[str, str] = {"op1_warc": _OP1_SQL, "op2_jaccard_join": _OP2_SQL, "op5_quality_rules": _OP5_SQL, "op7_line_dedup": _OP7_SQL, "op10_topk": _OP10_SQL}
