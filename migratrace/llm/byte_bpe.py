@@ -5,13 +5,18 @@ from __future__ import annotations
 import json
 import re
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 
-#: Words that one worker remembers; beyond them it starts anew.
+#: Words of one generation that a worker remembers; a full one makes way for the next, which takes over what is met again.
 MEMO = 1 << 19
-#: A blank, letters of the Latin blocks, then marks: two pre-tokens, whatever stands around them.
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+#: Pre-tokens that are the same whatever stands around them: letters of the Latin blocks with a blank before them, marks,
+#: and a line end between a character and a letter.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_MARKS = r"!-&(-/:-@\[-`{-~"
+_PARTS = re.compile(rf" ?[{_LETTERS}]++|[{_MARKS}]++|(?<=[{_MARKS}{_LETTERS}])\n(?=[{_LETTERS}])")
+_PLAIN = re.compile(rf"(?:{_PARTS.pattern})++")
 _BLANK_BEFORE_BLANK = re.compile(r"\s |\0")
 _CUTS = re.compile(r"(?<=\S)(?= )")
 
@@ -24,11 +29,14 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Memo(dict):
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, before: dict[str, bytes]):
+        self.encode, self.before = encode, before
 
     def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.encode(word)
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
         return ids
 
 
@@ -59,20 +67,20 @@ class ByteBpe:
         )
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.letters = _byte_letters()
-        self.memo = _Memo(self._word)
+        self.memo = _Memo(self._word, {})
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
         found = self.library.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in found], "<u4").tobytes()
+        return pack(f"<{len(found)}I", *(t.id for t in found))
 
     def _word(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if not plain:
+        if not _PLAIN.fullmatch(word):
             return self._whole(word)
-        return self._part(plain[1]) + (self._part(plain[2]) if plain[2] else b"")
+        parts = _PARTS.findall(word)
+        return self._part(word) if len(parts) == 1 else b"".join(map(self.memo.__getitem__, parts))
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -80,7 +88,8 @@ class ByteBpe:
         if not self.by_word or any(a in text for a in self.added):
             return self._whole(text)
         if len(self.memo) > MEMO:
-            self.memo.clear()
+            self.memo.before = {}
+            self.memo = _Memo(self._word, self.memo)
         parts = _CUTS.split(text) if _BLANK_BEFORE_BLANK.search(text) else text.replace(" ", "\0 ").split("\0")
         return b"".join(map(self.memo.__getitem__, parts))
 
