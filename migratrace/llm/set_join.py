@@ -6,13 +6,15 @@ difference is at most d agree on one of any d + 1 segments, so no link is lost,
 and a passage that many documents share does not make a long list, since the
 rest of a segment differs.  Lists are ordered by set size and by the position
 of the segment; blocks of equal size and position are skipped when the bound on
-the overlap that follows from them is too low.
-
-Answers are derived first: every set is compared with one hub, the set it
-shares most lists with.  Overlaps with a common hub bound the overlap of two
-sets from both sides, and the counts of their shingles per range of the hash
-order bound it from above; only pairs that the bounds leave open, and that
-links found so far do not join already, are compared in full.
+the overlap that follows from them is too low.  Lists of equal members are one
+list, and the counts of shingles per range of the hash order take lists apart
+further.  Sets that possible links hold together are a family.
+
+A family is searched in one task, or in blocks if it is large.  One set's
+overlaps with the whole family are counted from the family's postings; those of
+the next are derived from the most similar set that has answers already, by the
+shingles in which the two differ.  Sets that links have joined to the largest
+component need no answers of their own.
 """
 
 from __future__ import annotations
@@ -22,9 +24,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from migratrace.llm.common import components, slices
 from migratrace.llm.textscan import buffers, mix, windows, word_bounds, word_hashes
@@ -34,14 +35,15 @@ SHINGLE = 4
 PERCENT = 85
 #: Ratio of the largest to the smallest set size of a class; sets of a class are cut into equally many segments.
 CLASS_RATIO = 1.4
-#: Rows of one index list that a task looks through at once; a longer list goes out in parts, unskipped.
+#: Rows of one index list that a task looks through at once; the sets of a longer list are a family as they are.
 LIST_ROWS = 1 << 12
 #: Bits of the filter that keeps texts from being cut into sets again when no candidate needs them.
 FILTER_BITS = 1 << 23
-#: Rounds in which one set of each list is compared with the rest; then eight times as many in each further round.
-SINGLE_ROUNDS = 2
-#: A set with so few possible partners in a list is paired with them at once.
-FEW_PARTNERS = 8
+#: Sets and shingles of a family that one task searches; a larger family is dealt to blocks, and blocks meet in pairs.
+FAMILY_SETS = 1 << 11
+FAMILY_ITEMS = 1 << 21
+#: Bits of a digest that name a set in the index.
+SHORT_BITS = 64
 #: Ranges of the hash order whose counts bound an overlap before sets are fetched.
 RANGES = 256
 
@@ -116,9 +118,13 @@ class Segments:
         return np.concatenate(keys), np.concatenate(places)
 
 
-def _identity(values: np.ndarray) -> tuple[int, int]:
-    digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
-    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+def _identity(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
+def _short(node: bytes, bits: int) -> int:
+    """The name of a set in the index: a part of its digest.  Sets that share it are told apart before they are compared."""
+    return int.from_bytes(node[:8], "big", signed=True) >> (64 - bits)
 
 
 def _profile(values: np.ndarray) -> bytes:
@@ -127,107 +133,77 @@ def _profile(values: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def _profiles(column: pa.Array) -> np.ndarray:
+def _profiles(column: list[bytes]) -> np.ndarray:
     """The counts of every row; 255 becomes a number that bounds nothing."""
-    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16)
+    rows = np.frombuffer(b"".join(column), np.uint8).reshape(-1, RANGES).astype(np.int16)
     rows[rows == 255] = np.iinfo(np.int16).max
     return rows
 
 
-def _scan(size: int, percent: int):
-    """Size and identity of every text's set; the keys once per set and task."""
+def _scan(size: int, bits: int):
+    """Size and identity of every text's set; the counts per range once per set and task."""
 
     def run(batches):
-        segments, seen = Segments(percent), set()
+        seen = set()
         for part in slices(batches, "text_in"):
             sets = shingle_sets(part.column("text_in"), size)
-            nodes, checks, keys, places, profiles = [], [], [], [], []
-            for values in sets:
-                node, check = _identity(values) if len(values) else (None, None)
-                nodes.append(node)
-                checks.append(check)
-                if node is None or node in seen:
-                    keys.append(None)
-                    places.append(None)
-                    profiles.append(None)
-                    continue
-                seen.add(node)
-                k, p = segments.keys(values)
-                keys.append(k.view(np.int64))
-                places.append(p.astype(np.int32))
-                profiles.append(_profile(values))
+            nodes = [_identity(s) if len(s) else None for s in sets]
+            profiles = []
+            for node, values, keyed in zip(nodes, sets, part.column("key_in").is_valid().to_pylist(), strict=True):
+                fresh = node is not None and keyed and node not in seen
+                if fresh:
+                    seen.add(node)
+                profiles.append(_profile(values) if fresh else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("key_in"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(nodes, pa.int64()),
-                    pa.array(checks, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(places, pa.list_(pa.int32())),
+                    pa.array(nodes, pa.binary()),
+                    pa.array([None if x is None else _short(x, bits) for x in nodes], pa.int64()),
                     pa.array(profiles, pa.binary()),
                 ],
-                names=["key_in", "n", "node", "check", "keys", "places", "profile"],
+                names=["key_in", "n", "node", "short", "profile"],
             )
 
     return run
 
 
-def _enough(n, m, percent: int):
-    """The least overlap of sets of ``n`` and ``m`` shingles that is a link."""
-    return -((-percent * (n + m)) // (100 + percent))
-
-
-def _lists(handle, profiled: bool):
-    """Run ``handle`` over whole lists of rows that come ordered by key.
-
-    A list of more than LIST_ROWS rows goes out in parts, as it is.
-    """
-    names = ["key", "node", "n", "pos", "other", "m"]
-
-    def arrays(batch):
-        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        if profiled:
-            rows.append(_profiles(batch.column(4)))
-        return rows
-
-    def out(rows):
-        columns = [pa.array(x) for x in rows[:4]]
-        columns += rows[4:] if len(rows) == 6 else [pa.nulls(len(columns[0]), t) for t in (pa.int64(), pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=names)
+def _index(size: int, percent: int, bits: int):
+    """A row (key, node, n, pos) per segment of every set, once per set and task."""
 
     def run(batches):
-        held, parted = None, False  # rows of the open list; whether some of it went out before
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = arrays(batch)
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            cut = int(np.searchsorted(rows[0], rows[0][-1]))
-            if cut:
-                first = int(np.searchsorted(rows[0], rows[0][0], "right")) if parted else 0
-                if first:
-                    yield out([x[:first] for x in rows[:4]])
-                if cut > first:
-                    yield out(handle([x[first:cut] for x in rows]))
-                parted = False
-            held = [x[cut:] for x in rows]
-            if len(held[0]) > LIST_ROWS:
-                yield out(held[:4])
-                held, parted = [x[:0] for x in held], True
-        if held is not None and len(held[0]):
-            yield out(held[:4] if parted else handle(held))
+        segments, seen = Segments(percent), set()
+        for part in slices(batches, "text_in"):
+            columns: list[list[np.ndarray]] = [[], [], [], []]
+            for values in shingle_sets(part.column("text_in"), size):
+                node = _identity(values) if len(values) else None
+                if node is None or node in seen:
+                    continue
+                seen.add(node)
+                keys, places = segments.keys(values)
+                rows = (keys.view(np.int64), np.full(len(keys), _short(node, bits)), np.full(len(keys), len(values), np.int32), places.astype(np.int32))
+                for column, x in zip(columns, rows, strict=True):
+                    column.append(x)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["key", "node", "n", "pos"])
 
     return run
 
 
-def _skip(percent: int):
-    """Of rows ordered by key, size, position and set: those that a partner in their list may link to.
+def _enough(n, m, percent: int):
+    """The least overlap of sets of ``n`` and ``m`` shingles that is a link."""
+    return -((-percent * (n + m)) // (100 + percent))
+
+
+def _skip(percent: int, list_rows: int):
+    """Of whole lists of rows ordered by key, size, position and set: the rows that a partner in their list may link to.
 
     Copies of one set in a list count once.  A list of two is decided at once
     for all such lists of a batch; in longer ones blocks of equal size and
     position are compared, and the search of a block ends at the first size
-    that is too large.
+    that is too large.  Rows go out as (list, node): a list is named by the sum
+    over its members, so that lists of equal members are the same list.  A list
+    of more than ``list_rows`` rows goes out in parts under its key, unskipped.
     """
 
     def handle(rows: list[np.ndarray]):
@@ -255,109 +231,213 @@ def _skip(percent: int):
                     used[i] = True
                     used[j[ok]] = True
             keep[own] = used[where]
-        return [x[keep] for x in (key, node, n, pos)]
+        key, node = key[keep], node[keep]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        names = mix(np.add.reduceat(mix(node.view(np.uint64)), start)) if len(key) else np.zeros(0, np.uint64)
+        return out(np.repeat(names.view(np.int64), np.diff(np.append(start, len(key)))), node)
+
+    def out(name: np.ndarray, node: np.ndarray):
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array(node)], names=["list", "node"])
+
+    def run(batches):
+        held, parted = None, False  # rows of the open list; whether some of it went out before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if cut:
+                first = int(np.searchsorted(rows[0], rows[0][0], "right")) if parted else 0
+                if first:
+                    yield out(rows[0][:first], rows[1][:first])
+                if cut > first:
+                    yield handle([x[first:cut] for x in rows])
+                parted = False
+            held = [x[cut:] for x in rows]
+            if len(held[0]) > list_rows:
+                yield out(held[0], held[1])
+                held, parted = [x[:0] for x in held], True
+        if held is not None and len(held[0]):
+            yield out(held[0], held[1]) if parted else handle(held)
 
-    return _lists(handle, False)
+    return run
 
 
-def _split(percent: int):
-    """Take apart each list by what the counts per range of the hash order leave possible.
+def _possible(percent: int, list_rows: int):
+    """Edges that hold the sets of a list together where the counts per range leave a link possible.
 
-    A set with at most FEW_PARTNERS possible partners in its list makes a pair
-    with each (key null, node, n, other, m); those with more stay a list, as
-    sets of one near-copy group do.
+    Rows come ordered by list.  Sets share at most the smaller count of each
+    range; from one set after the other the rest of the list is searched for
+    those it may link to, so each set is found once and an edge per set goes
+    out.  The sets of a list of more than ``list_rows`` rows all hang on its first.
     """
 
-    def handle(rows: list[np.ndarray]):
-        key, node, n, pos, profile = rows
-        size = n.astype(np.int64)
-        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        stays = np.zeros(len(key), bool)
-        one: list[np.ndarray] = []
-        two: list[np.ndarray] = []
-        for s, e in zip(start, np.append(start[1:], len(key)), strict=True):
-            possible = np.zeros((e - s, e - s), bool)
-            for i in range(e - s - 1):
-                most = np.minimum(profile[s + i], profile[s + i + 1 : e]).sum(axis=1, dtype=np.int64)
-                possible[i, i + 1 :] = most >= _enough(size[s + i], size[s + i + 1 : e], percent)
-            degree = possible.sum(axis=0) + possible.sum(axis=1)
-            many = degree > FEW_PARTNERS
-            stays[s:e] = many
-            a, b = np.nonzero(possible & ~(many[:, None] & many[None, :]))
-            one.append(a + s)
-            two.append(b + s)
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (one, two))
-        low, high = np.where(node[a] < node[b], a, b), np.where(node[a] < node[b], b, a)
-        none = len(a)
-        listed = [pa.array(x[stays]) for x in (key, node, n, pos)]
-        paired = [pa.nulls(none, pa.int64()), pa.array(node[low]), pa.array(n[low]), pa.nulls(none, pa.int32())]
-        columns = [pa.concat_arrays([x, y]) for x, y in zip(listed, paired, strict=True)]
-        extra = [(node[high], pa.int64()), (n[high], pa.int32())]
-        return columns + [pa.concat_arrays([pa.nulls(int(stays.sum()), t), pa.array(x, t)]) for x, t in extra]
-
-    return _lists(handle, True)
-
-
-def _candidate_sets(texts: DataFrame, reps: DataFrame, size: int) -> DataFrame:
-    """(node, items) of the sets named in ``reps`` (node, doc); only their texts are cut again."""
-    bucket = F.crc32(F.col("doc").cast("string").cast("binary")) % FILTER_BITS
-    words = reps.select(bucket.alias("b")).selectExpr("b div 32 AS w", "shiftleft(1L, cast(b % 32 AS int)) AS m")
-    filled = words.groupBy("w").agg(F.expr("bit_or(m)").alias("m")).toPandas()  # at most FILTER_BITS / 32 rows
-    table = np.zeros(FILTER_BITS // 32, np.uint32)
-    table[filled["w"].to_numpy(np.int64)] = filled["m"].to_numpy(np.int64)
-    packed = zlib.compress(table.tobytes(), 1)
+    def edges(nodes: list[bytes], n: np.ndarray, profiles: list[bytes]):
+        counts, left = _profiles(profiles), np.arange(1, len(nodes))
+        found, queue = [], [0]
+        while len(left):
+            i = queue.pop() if queue else None
+            if i is None:
+                i, left = int(left[0]), left[1:]
+            if not len(left):
+                break
+            most = np.minimum(counts[i], counts[left]).sum(axis=1, dtype=np.int64)
+            near = most >= _enough(n[i], n[left], percent)
+            hit = left[near].tolist()
+            found.extend((nodes[i], nodes[j]) for j in hit)
+            queue.extend(hit)
+            left = left[~near]
+        return found
 
     def run(batches):
-        bits = np.frombuffer(zlib.decompress(packed), np.uint32)
+        name, rows, first = None, [], None
         for batch in batches:
-            at = np.array([zlib.crc32(str(d).encode()) % FILTER_BITS for d in batch.column("key_in").to_pylist()], np.int64)
-            hit = pa.array((bits[at // 32] >> (at % 32).astype(np.uint32) & 1).astype(bool) if len(at) else np.zeros(0, bool))
-            for part in slices([batch.filter(hit)], "text_in"):
-                found = [s for s in shingle_sets(part.column("text_in"), size) if len(s)]
-                if found:
-                    names = pa.array([_identity(s)[0] for s in found], pa.int64())
-                    items = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([names, items], names=["node", "items"])
-
-    found = texts.mapInArrow(run, "node long, items array<long>")
-    return found.join(reps.select("node"), "node", "left_semi").dropDuplicates(["node"])
+            out = []
+            for list_, *row in zip(*(batch.column(c).to_pylist() for c in ("list", "node", "n", "profile")), strict=True):
+                if list_ != name:
+                    out += edges([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), [r[2] for r in rows]) if len(rows) > 1 else []
+                    name, rows, first = list_, [], None
+                if first is not None:
+                    out.append((first, row[0]))
+                    continue
+                rows.append(row)
+                if len(rows) > list_rows:
+                    first = rows[0][0]
+                    out += [(first, r[0]) for r in rows[1:]]
+                    rows = []
+            if out:
+                yield _pairs(out)
+        if len(rows) > 1:
+            out = edges([r[0] for r in rows], np.array([r[1] for r in rows], np.int64), [r[2] for r in rows])
+            if out:
+                yield _pairs(out)
 
+    return run
 
-def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b, n_a, n_b) whose counts per range of the hash order leave a link possible.
 
-    Sets share at most the smaller count of each range; only the counts move.
+def _pairs(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    a, b = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
+class Family:
+    """Sets of one family, the postings of their shingles, and overlaps derived from similar sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        member = np.repeat(np.arange(len(sets)), self.sizes)
+        values, ids, self.lengths = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.postings = member[np.argsort(ids, kind="stable")]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.ids = np.split(ids, np.cumsum(self.sizes)[:-1])
+        #: How much of a set others hold: the more, the more answers can be derived from it.
+        self.weight = np.bincount(member, weights=self.lengths[ids]) / self.sizes
+
+    def holders(self, ids: np.ndarray) -> np.ndarray:
+        """For every set, how many of the shingles ``ids`` it holds."""
+        lengths = self.lengths[ids]
+        at = np.repeat(self.starts[ids] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        return np.bincount(self.postings[at], minlength=len(self.sizes))
+
+    def overlaps(self, i: int, near: int, answers: dict[int, np.ndarray]) -> np.ndarray:
+        """Overlaps of set ``i`` with all: those of ``near``, less the shingles that only it has, and those that only ``i`` has."""
+        if near >= 0:
+            own, other = self.ids[i], self.ids[near]
+            gone, new = np.setdiff1d(other, own, assume_unique=True), np.setdiff1d(own, other, assume_unique=True)
+            if self.lengths[gone].sum() + self.lengths[new].sum() < self.lengths[own].sum():
+                return answers[near] - self.holders(gone) + self.holders(new)
+        return self.holders(self.ids[i])
+
+    def join(self, groups: np.ndarray, percent: int) -> np.ndarray:
+        """``groups`` (a number per set) with those joined that a link connects; named by a set that others resemble."""
+        k = len(self.sizes)
+        group = np.unique(groups, return_inverse=True)[1].reshape(-1)
+        done, near, share = np.zeros(k, bool), np.full(k, -1), np.zeros(k)
+        answers: dict[int, np.ndarray] = {}
+        open_ = np.ones(k, bool)
+        # every link between two groups has an end outside the largest
+        while open_.any():
+            i = int(np.argmax(np.where(open_, self.weight, -1)))
+            shared = answers[i] = self.overlaps(i, int(near[i]), answers)
+            done[i] = True
+            linked = shared >= _enough(self.sizes, self.sizes[i], percent)
+            joined = np.unique(group[linked])
+            if len(joined) > 1:
+                group[np.isin(group, joined)] = joined[0]
+            closer = shared / np.maximum(self.sizes, self.sizes[i])
+            better = closer > share
+            share[better], near[better] = closer[better], i
+            open_ = ~done & (group != np.bincount(group).argmax())
+        order = np.argsort(-self.weight, kind="stable")
+        names, first = np.unique(group[order], return_index=True)
+        return order[first][np.searchsorted(names, group)]
+
+
+def _search(percent: int, kept: list[str]):
+    """The groups of every family or block: rows (kept columns, node, label before, label after).
+
+    Rows (place, node, label, items) come ordered by place; sets that come
+    twice count once.
     """
-    one = nodes.select(F.col("node").alias("a"), F.col("profile").alias("profile_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("profile").alias("profile_b"))
+
+    def solve(rows: dict[bytes, tuple]) -> list[tuple]:
+        nodes, labels, sets = list(rows), [r[0] for r in rows.values()], [r[1] for r in rows.values()]
+        numbers = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+        named = Family(sets).join(np.array([numbers[x] for x in labels]), percent)
+        return [(node, label, nodes[j]) for node, label, j in zip(nodes, labels, named.tolist(), strict=True)]
 
     def run(batches):
+        place, rows = None, {}
+
+        def out():
+            columns = zip(*solve(rows), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["node", "before", "label"])
+
         for batch in batches:
-            if batch.num_rows:
-                most = np.minimum(_profiles(batch.column(4)), _profiles(batch.column(5))).sum(axis=1, dtype=np.int64)
-                n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
-                yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(most >= _enough(n, m, percent)))
+            items = batch.column("items")
+            bounds, values = items.offsets.to_numpy(), items.values.to_numpy(zero_copy_only=False)
+            names = [batch.column(c).to_pylist() for c in ("node", "label", *kept)]
+            for i, (node, label, *own) in enumerate(zip(*names, strict=True)):
+                if own != place:
+                    if rows:
+                        yield out()
+                    place, rows = own, {}
+                rows[node] = (label, values[bounds[i] : bounds[i + 1]].copy())
+        if rows:
+            yield out()
 
-    joined = pairs.join(two, "b").join(one, "a").select("a", "b", "n_a", "n_b", "profile_a", "profile_b")
-    return joined.mapInArrow(run, "a long, b long, n_a int, n_b int")
+    return run
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the number of shared shingles."""
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
-    shared = F.size(F.array_intersect("items_a", "items_b")).cast("long")
-    return pairs.join(right, "b").join(left, "a").select(*pairs.columns, shared.alias("shared"))
+def _found(sets: DataFrame, percent: int, place: list[str]) -> DataFrame:
+    """(node, before, label) of the groups of ``sets`` (place columns, node, label, items)."""
+    ordered = sets.select(*place, "node", "label", "items").repartition(*place).sortWithinPartitions(*place)
+    return ordered.mapInArrow(_search(percent, place), "node binary, before binary, label binary")
 
 
-def _linked(shared: Column, n: Column, m: Column, percent: int) -> Column:
-    return shared * (100 + percent) >= (n + m) * percent
+def _sets_of(texts: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """``members`` (node, bucket, ...) with the items of their sets; only their texts are cut again."""
+    words = members.selectExpr("bucket div 32 AS w", "shiftleft(1L, cast(bucket % 32 AS int)) AS m")
+    filled = words.groupBy("w").agg(F.expr("bit_or(m)").alias("m")).toPandas()  # at most FILTER_BITS / 32 rows
+    table = np.zeros(FILTER_BITS // 32, np.uint32)
+    table[filled["w"].to_numpy(np.int64)] = filled["m"].to_numpy(np.int64)
+    packed = zlib.compress(table.tobytes(), 1)
 
+    def run(batches):
+        bits = np.frombuffer(zlib.decompress(packed), np.uint32)
+        for batch in batches:
+            at = batch.column("bucket").to_numpy()
+            hit = pa.array((bits[at // 32] >> (at % 32).astype(np.uint32) & 1).astype(bool))
+            for part in slices([batch.filter(hit)], "text_in"):
+                found = [s for s in shingle_sets(part.column("text_in"), size) if len(s)]
+                if found:
+                    names = pa.array([_identity(s) for s in found], pa.binary())
+                    items = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([names, items], names=["node", "items"])
 
-def _fits(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and positions of two rows of a list leave a link possible."""
-    n, m, p, q = F.col(f"n_{a}"), F.col(f"n_{b}"), F.col(f"pos_{a}"), F.col(f"pos_{b}")
-    return _linked(F.least(p, q) + F.least(n - p, m - q), n, m, percent)
+    return texts.mapInArrow(run, "node binary, items array<long>").join(members.drop("bucket"), "node")
 
 
 def jaccard_components(
@@ -369,47 +449,39 @@ def jaccard_components(
     A set holds the distinct shingles of ``size`` words of the whole text; a
     shorter text is one shingle; without words the set is empty and linked with
     nothing.  Two rows link when 100 * shared >= ``percent`` * all shingles of
-    both.  component_id is the smallest key reachable by links.
+    both.  component_id is the smallest key reachable by links; keys may be of
+    any type that has an order.
 
     Rows with a null key are given back with a null component and link
     nothing.  Rows that repeat a key are sets of their own.  A null text is
     empty; an empty table gives no rows; other columns are not read.
 
-    Sets that are equal are one node from the start, so copies are never
-    paired.  Nodes are told apart by a 64-bit digest; two sets that share one
-    are noticed by a second digest and stop the run.
+    Sets that are equal are one node from the start, by a digest of 128 bits,
+    so copies are never paired.  A task holds one list of LIST_ROWS rows, or
+    one block of FAMILY_SETS sets or FAMILY_ITEMS shingles, or two such blocks.
     """
     ship_package(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    texts = docs.select(docs[key].alias("key_in"), docs[text].alias("text_in"))
-    scanned = materialize(
-        texts.mapInArrow(
-            _scan(size, percent), f"key_in {kind}, n long, node long, check long, keys array<long>, places array<int>, profile binary"
-        ),
-        "sets",
+    texts = docs.select(
+        docs[key].alias("key_in"), docs[text].alias("text_in"), F.pmod(F.xxhash64(docs[key]), F.lit(FILTER_BITS)).alias("bucket")
     )
+    scanned = texts.mapInArrow(_scan(size, SHORT_BITS), f"key_in {kind}, n long, node binary, short long, profile binary")
+    scanned = materialize(scanned, "sets")
     nodes = (
         scanned.where("node IS NOT NULL AND key_in IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("key_in").alias("doc"), F.min("n").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("profile", ignorenulls=True).alias("profile"))
-        .select("node", "doc", "profile", F.when(F.col("low") == F.col("high"), F.col("n")).otherwise(F.raise_error(F.lit("two sets share a digest"))).alias("n"))
+        .agg(F.min("key_in").alias("doc"), F.min("n").alias("n"), F.min("short").alias("short"), F.first("profile", ignorenulls=True).alias("profile"))
     )
     nodes = materialize(nodes, "nodes")
-    rows = (
-        scanned.where("node IS NOT NULL AND size(keys) > 0")
-        .select("node", F.col("n").cast("int").alias("n"), F.explode(F.arrays_zip("keys", "places")).alias("e"))
-        .select(F.col("e.keys").alias("key"), "node", "n", F.col("e.places").alias("pos"))
-    )
+    keyed = texts.where("key_in IS NOT NULL")
+    rows = keyed.mapInArrow(_index(size, percent, SHORT_BITS), "key long, node long, n int, pos int")
     indexed = rows.repartition("key").sortWithinPartitions("key", "n", "pos", "node")
-    columns = "key long, node long, n int, pos int, other long, m int"
-    lists = materialize(indexed.mapInArrow(_skip(percent), columns).select("key", "node", "n", "pos"), "lists")
-    counted = lists.join(nodes.select("node", "profile"), "node").select("key", "node", "n", "pos", "profile")
-    ordered = counted.repartition("key").sortWithinPartitions("key", "node")
-    split = materialize(ordered.mapInArrow(_split(percent), columns), "split-lists")
-    lists = split.where("key IS NOT NULL").select("key", "node", "n", "pos")
-    pairs = split.where("key IS NULL").groupBy(F.col("node").alias("a"), F.col("other").alias("b"))
-    pairs = pairs.agg(F.count("*").alias("votes"), F.first("n").alias("n_a"), F.first("m").alias("n_b"))
-    labels = _link_lists(texts, lists, materialize(pairs, "few"), nodes, size, percent)
+    lists = indexed.mapInArrow(_skip(percent, LIST_ROWS), "list long, node long").distinct()
+    lists = materialize(lists.withColumnRenamed("node", "short"), "lists")
+    named = lists.join(nodes.select("short", "node", "n", "profile"), "short").select("list", "node", "n", "profile")
+    ordered = named.repartition("list").sortWithinPartitions("list", "node")
+    edges = materialize(ordered.mapInArrow(_possible(percent, LIST_ROWS), "a binary, b binary").distinct(), "edges")
+    labels = _labels(keyed, nodes, edges, size, percent)
     reached = labels.join(nodes, "node").groupBy("label").agg(F.min("doc").alias("least"))
     joined = labels.join(reached, "label").select("node", "least")
     placed = materialize(
@@ -423,83 +495,54 @@ def jaccard_components(
     )
 
 
-def _link_lists(texts: DataFrame, lists: DataFrame, few: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, label) of every node with a link: hubs first, then pairs of sets with few partners, then the lists."""
-    spark = lists.sparkSession
-    named = lists.select("node").unionByName(few.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
-    some = materialize(named.join(nodes, "node").select("node", "doc"), "candidates")
-    sets = materialize(_candidate_sets(texts, some, size), "candidate-sets")
-
-    # the hub of a set: the smallest set of most of its lists
-    least = lists.groupBy("key").agg(F.min(F.struct("node", "n", "pos")).alias("h"))
-    least = least.select("key", F.col("h.node").alias("hub"), F.col("h.n").alias("n_hub"), F.col("h.pos").alias("pos_hub"))
-    mine = lists.select("key", "node", F.col("n").alias("n_own"), F.col("pos").alias("pos_own"))
-    votes = mine.join(least, "key").where("node <> hub").where(_fits("own", "hub", percent))
-    votes = votes.groupBy("node", "hub").agg(F.count("*").alias("votes"), F.first("n_own").alias("n"), F.first("n_hub").alias("n_hub"))
-    votes = votes.unionByName(few.select(F.col("b").alias("node"), F.col("a").alias("hub"), "votes", F.col("n_b").alias("n"), F.col("n_a").alias("n_hub")))
-    best = votes.groupBy("node").agg(F.max(F.struct("votes", "hub", "n", "n_hub")).alias("v"))
-    best = best.select(F.col("node").alias("b"), F.col("v.hub").alias("a"), F.col("v.n").alias("n"), F.col("v.n_hub").alias("n_hub"))
-    hubs = materialize(_overlaps(best, sets).select(F.col("b").alias("node"), F.col("a").alias("hub"), "n", "n_hub", "shared"), "hubs")
-    links = hubs.where(_linked(F.col("shared"), F.col("n"), F.col("n_hub"), percent)).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    if not hubs.limit(1).count():
-        return spark.createDataFrame([], "node long, label long")
-    labels = materialize(components(links), "labels")
-
-    known = hubs.select("node", "hub", F.col("shared").alias("in_hub"), "n_hub")
-    tried = materialize(hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")), "tried")
-
-    def placed(frame: DataFrame, *columns: str) -> DataFrame:
-        """Rows of sets with their labels and overlaps with their hubs; a hub is its own."""
-        return frame.join(labels, "node", "left").join(known, "node", "left").select(
-            *columns, "node", "n",
-            F.coalesce("label", "node").alias("label"),
-            F.coalesce("hub", "node").alias("hub"),
-            F.coalesce("in_hub", F.col("n").cast("long")).alias("in_hub"),
-            F.coalesce("n_hub", "n").alias("n_hub"),
-        )
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """The links among ``pairs`` of rows (suffixes _a and _b): by their bounds, or else by comparison."""
-        common = F.col("hub_a") == F.col("hub_b")
-        rest_a, rest_b = F.col("n_a") - F.col("in_hub_a"), F.col("n_b") - F.col("in_hub_b")
-        most = F.when(common, F.least("in_hub_a", "in_hub_b") + F.least(rest_a, rest_b)).otherwise(F.least("n_a", "n_b"))
-        fewest = F.when(common, F.col("in_hub_a") + F.col("in_hub_b") - F.col("n_hub_a")).otherwise(F.lit(0))
-        open_ = pairs.where(_linked(most, F.col("n_a"), F.col("n_b"), percent)).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").cast("int").alias("n_a"), F.col("n_b").cast("int").alias("n_b"),
-            _linked(fewest, F.col("n_a"), F.col("n_b"), percent).alias("sure"),
-        )
-        nonlocal tried
-        open_ = materialize(open_.dropDuplicates(["a", "b"]).join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(open_.select("a", "b"))
-        near = materialize(_possible(open_.where("NOT sure"), nodes, percent), "near")
-        compared = _overlaps(near, sets).where(_linked(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
-        return materialize(open_.where("sure").select("a", "b").unionByName(compared.select("a", "b")), "links")
-
-    def extend(fresh: DataFrame) -> None:
-        nonlocal links, labels
-        if fresh.limit(1).count():
-            links = links.unionByName(fresh)
-            labels = materialize(components(links), "labels")
-
-    def side(name: str, *columns: str) -> DataFrame:
-        own = placed(few.select(F.col(name).alias("node"), F.col(f"n_{name}").alias("n"), *columns).distinct(), *columns)
-        return own.select(*columns, *(F.col(c).alias(f"{c}_{name}") for c in own.columns if c not in columns))
-
-    extend(linked(side("a", "b").withColumnRenamed("b", "node_b").join(side("b"), "node_b").where("label_a <> label_b")))
-    left, turn = lists, 0
-    while True:
-        turn += 1
-        leaders = 8 ** max(0, turn - SINGLE_ROUNDS)
-        open_rows = materialize(placed(left, "key", "pos"), "open")
-        mixed = open_rows.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-        open_rows = materialize(open_rows.join(mixed, "key"), "mixed")
-        if not open_rows.limit(1).count():
-            return labels
-        first = W.partitionBy("key").orderBy("node")
-        leads = open_rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= leaders).drop("nth")
-        leads = materialize(leads, "leaders")
-        a = leads.select("key", *(F.col(c).alias(f"{c}_a") for c in leads.columns if c != "key"))
-        b = open_rows.select("key", *(F.col(c).alias(f"{c}_b") for c in leads.columns if c != "key"))
-        pairs = a.join(b, "key").where("node_a < node_b AND label_a <> label_b").where(_fits("a", "b", percent))
-        extend(linked(pairs))
-        left = open_rows.select("key", "node", "n", "pos").join(leads.select("key", "node"), ["key", "node"], "left_anti")
+def _labels(texts: DataFrame, nodes: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, label) of every node with a possible link: components of the exact links among them."""
+    if not edges.limit(1).count():
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    families = components(edges).withColumnRenamed("label", "family").join(nodes.select("node", "doc", "n"), "node")
+    families = materialize(families, "families")
+    sizes = families.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("items"))
+    blocks = F.greatest(F.ceil(F.col("sets") / FAMILY_SETS), F.ceil(F.col("items") / FAMILY_ITEMS)).cast("long")
+    large = materialize(sizes.select("family", blocks.alias("blocks")).where("blocks > 1"), "large-families")
+    dealt = families.join(large, "family", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    members = dealt.select(
+        "node", "family", "blocks",
+        F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
+        F.col("node").alias("label"),
+        F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS)).alias("bucket"),
+    )
+    members = materialize(members, "members")
+    found = materialize(_found(_sets_of(texts, members, size), percent, ["family", "block"]), "labels")
+    labels = found.select("node", "label")
+    if not large.limit(1).count():
+        return labels
+
+    sets = materialize(_sets_of(texts, members.where("blocks > 1").drop("label"), size), "family-sets")
+    labels = materialize(labels.join(members.select("node", "family", "block", "blocks"), "node"), "block-labels")
+    # first the sets that name the groups of a family's blocks meet
+    ends = sets.join(labels.where("node = label AND blocks > 1").select("node", "label"), "node")
+    counts = ends.groupBy("family").agg(F.count("*").alias("sets"), F.sum(F.size("items")).alias("items"))
+    parts = F.greatest(F.ceil(F.col("sets") / FAMILY_SETS), F.ceil(F.col("items") / FAMILY_ITEMS)).cast("long")
+    ends = ends.join(materialize(counts.select("family", parts.alias("parts")), "ends"), "family")
+    ends = ends.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    labels = _renamed(labels, materialize(_found(ends, percent, ["family", "part"]), "ends-met"))
+    # blocks of families that are still more than one group meet in pairs
+    spans = labels.where("blocks > 1").groupBy("family", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    spans = materialize(spans, "spans")
+    one, two = (spans.select("family", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "low", "high"))) for x in "ab")
+    pairs = one.join(two, "family").where("block_a < block_b AND (low_a <> high_a OR low_b <> high_b OR low_a <> low_b)")
+    pairs = materialize(pairs.select("family", "block_a", "block_b"), "block-pairs")
+    if not pairs.limit(1).count():
+        return labels.select("node", "label")
+    now = sets.select("node", "items").join(labels, "node")
+    sides = [now.join(pairs.withColumn("block", F.col(c)), ["family", "block"]) for c in ("block_a", "block_b")]
+    met = _found(sides[0].unionByName(sides[1]), percent, ["family", "block_a", "block_b"])
+    return _renamed(labels, materialize(met, "met")).select("node", "label")
+
+
+def _renamed(labels: DataFrame, met: DataFrame) -> DataFrame:
+    """``labels`` with one label for all that ``met`` (node, before, label) has joined."""
+    joined = met.where("before <> label").select(F.col("before").alias("a"), F.col("label").alias("b")).distinct()
+    names = components(joined).select(F.col("node").alias("label"), F.col("label").alias("name"))
+    columns = [F.coalesce("name", "label").alias(c) if c == "label" else F.col(c) for c in labels.columns]
+    return materialize(labels.join(names, "label", "left").select(*columns), "renamed")

@@ -164,14 +164,45 @@ def near_copies(n, seed):
     return list(enumerate(out[:n]))
 
 
-def test_components_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(set_join, "SINGLE_ROUNDS", 1)
+@pytest.mark.parametrize(("sets", "rows"), [(1 << 11, 1 << 12), (3, 1 << 12), (6, 5)])
+def test_components_match_brute_force(spark, monkeypatch, sets, rows):
+    """Families in one task, families in blocks that meet in pairs, and lists that go out in parts."""
+    monkeypatch.setattr(set_join, "FAMILY_SETS", sets)
+    monkeypatch.setattr(set_join, "LIST_ROWS", rows)
     rows = near_copies(300, 1) + [(1000, None), (1001, ""), (1002, " \t ")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("x")).withColumn("n", F.lit(1))
     got = {tuple(r) for r in jaccard_components(df).collect()}
     assert got == brute_components(rows) and len({c for *_, c in got}) < 290
 
 
+def test_sets_that_share_half_a_digest_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(set_join, "SHORT_BITS", 2)
+    rows = near_copies(60, 9)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    assert {tuple(r) for r in jaccard_components(df).collect()} == brute_components(rows)
+
+
+def test_answers_derived_from_similar_sets_equal_direct_ones():
+    draw = np.random.default_rng(8)
+    base = draw.choice(1 << 40, 400, replace=False)
+    sets = [np.sort(np.r_[draw.permutation(base)[draw.integers(0, 90) :], draw.choice(1 << 40, draw.integers(0, 90), replace=False)]) for _ in range(60)]
+    sets += [np.sort(draw.choice(1 << 40, 5, replace=False)) for _ in range(5)]
+    family = set_join.Family(sets)
+    answers = {0: family.overlaps(0, -1, {})}
+    for i in range(1, len(sets)):
+        answers[i] = family.overlaps(i, i - 1, answers)
+        assert answers[i].tolist() == [len(np.intersect1d(sets[i], x)) for x in sets]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            n = len(np.intersect1d(a, sets[j]))
+            if 100 * n >= 85 * (len(a) + len(sets[j]) - n):
+                old, new = root[i], root[j]
+                root = [new if r == old else r for r in root]
+    named = family.join(np.arange(len(sets)), 85)
+    assert len(set(zip(named.tolist(), root, strict=True))) == len(set(root)) == len(set(named.tolist()))
+
+
 def test_components_of_odd_rows(spark):
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_components(odd_table(spark)).collect()}
     n = len(shingles(ODD[6][1]))
