@@ -7,7 +7,7 @@ return the columns of the documents they were given.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -55,29 +55,49 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: that with the smallest id.
+    """Keep one document of each group of near duplicates: that with the smallest id, and of its texts the first by digest.
 
     Near duplicates share NEAR_PERCENT of their NEAR_SHINGLE-word shingles; op2's own contract binds only op2.
-    Rows that repeat an id are one document, of which the first text by hash
-    stays; rows without an id are in no group and all stay.
+    A document is a distinct pair of id and text, so different texts under one
+    id are compared, kept and dropped one by one; a missing id comes after all
+    others.  Rows that repeat id and text are one document.  Null texts and
+    texts without words are in no group; each such id and text keeps one row.
     """
-    groups = jaccard_components(docs, size=NEAR_SHINGLE, percent=NEAR_PERCENT)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
     plain, names = _plain(docs)
-    key, text = names["doc_id"], names["text"]
-    joined = plain.join(kept, F.col(key) == F.col("kept_id"), "left_semi")
-    first = F.row_number().over(W.partitionBy(key).orderBy(F.xxhash64(text), text))
-    one = joined.withColumn("nth", first).where("nth = 1").drop("nth")
-    return one.unionByName(plain.where(F.col(key).isNull())).select(*(F.col(c).alias(n) for n, c in names.items()))
+    key, text = F.col(names["doc_id"]), F.col(names["text"])
+    row = F.struct(key.isNull().alias("missing"), key.alias("id"), F.sha2(text.cast("binary"), 256).alias("digest"))
+    keyed = plain.withColumn("row_key", row)
+    groups = jaccard_components(keyed.select("row_key", text.alias("text_in")), key="row_key", text="text_in", size=NEAR_SHINGLE, percent=NEAR_PERCENT)
+
+    def code(c: str) -> Column:
+        parts = (F.col(f"{c}.missing").cast("string"), F.col(f"{c}.digest"), F.col(f"{c}.id").cast("string"))
+        return F.sha2(F.concat_ws(":", *(F.coalesce(p, F.lit("")) for p in parts)), 256)
+
+    kept = groups.where(F.col("row_key") == F.col("component_id")).select(code("row_key").alias("code")).distinct()
+    joined = keyed.withColumn("code", code("row_key")).join(kept, "code", "left_semi")
+    rest = [F.col(c) for n, c in names.items() if n not in ("doc_id", "text")]
+    first = F.row_number().over(W.partitionBy("code").orderBy(*rest, key))
+    one = joined.withColumn("nth", first).where("nth = 1")
+    return one.select(*(F.col(c).alias(n) for n, c in names.items()))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources: a row per document and pass with the words taken in it."""
+    """The mix of the sources: a row per document and pass with the words taken in it.
+
+    Sources and weights are those of the mixing operator.  Documents without
+    words, null texts among them, have nothing to give and are in no mix; a
+    null source is a source; rows that repeat an id are documents of their own;
+    equal runs take the same words.  An empty table gives an empty mix.
+    """
     return mix_documents(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text with an end id, and digests of the ids and of the text they decode to."""
+    """Token ids of every text with an end id, and digests of the ids and of the text they decode to.
+
+    A null or empty text is the end id alone; every row is encoded for itself,
+    also with a null or repeated id.  An empty table gives no rows.
+    """
     return encode_documents(docs, model_bytes(), outputs=("ids", "n_tokens", "ids_sha256", "decoded_sha256"))
 
 
