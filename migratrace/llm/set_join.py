@@ -39,9 +39,10 @@ CLASS_RATIO = 1.4
 LIST_ROWS = 1 << 12
 #: Bits of the filter that keeps texts from being cut into sets again when no candidate needs them.
 FILTER_BITS = 1 << 23
-#: Sets and shingles of a family that one task searches; a larger family is dealt to blocks, and blocks meet in pairs.
-FAMILY_SETS = 1 << 11
-FAMILY_ITEMS = 1 << 21
+#: Sets and shingles of a family that one task searches; a larger family is dealt to blocks, and then what its largest
+#: group leaves out meets every block.
+FAMILY_SETS = 1 << 10
+FAMILY_ITEMS = 1 << 19
 #: Bits of a digest that name a set in the index.
 SHORT_BITS = 64
 #: Ranges of the hash order whose counts bound an overlap before sets are fetched.
@@ -327,10 +328,17 @@ class Family:
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets], np.int64)
-        member = np.repeat(np.arange(len(sets)), self.sizes)
-        values, ids, self.lengths = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        self.postings = member[np.argsort(ids, kind="stable")]
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        items = np.concatenate(sets)
+        order = np.argsort(items)
+        items = items[order]
+        fresh = np.ones(len(items), bool)
+        fresh[1:] = items[1:] != items[:-1]
+        self.starts = np.flatnonzero(fresh)
+        self.lengths = np.diff(np.append(self.starts, len(items)))
+        member = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
+        self.postings = member[order]
+        ids = np.empty(len(items), np.int32)
+        ids[order] = np.cumsum(fresh, dtype=np.int32) - 1
         self.ids = np.split(ids, np.cumsum(self.sizes)[:-1])
         #: How much of a set others hold: the more, the more answers can be derived from it.
         self.weight = np.bincount(member, weights=self.lengths[ids]) / self.sizes
@@ -350,17 +358,24 @@ class Family:
                 return answers[near] - self.holders(gone) + self.holders(new)
         return self.holders(self.ids[i])
 
-    def join(self, groups: np.ndarray, percent: int) -> np.ndarray:
-        """``groups`` (a number per set) with those joined that a link connects; named by a set that others resemble."""
+    def join(self, groups: np.ndarray, percent: int, asked: np.ndarray | None = None, main: np.ndarray | None = None) -> np.ndarray:
+        """``groups`` (a number per set) with those joined that a link of an ``asked`` set connects (default: of any).
+
+        Where all sets are asked, those in the largest group need not be: a link
+        between two groups has an end outside it.  Else the same holds for the
+        group of the ``main`` sets, which are the same in all tasks.  Groups are
+        named by a set that others resemble.
+        """
         k = len(self.sizes)
         group = np.unique(groups, return_inverse=True)[1].reshape(-1)
+        asked = np.ones(k, bool) if asked is None else asked
+        fixed = np.flatnonzero(main) if main is not None else np.zeros(0, np.int64)
         done, near, share = np.zeros(k, bool), np.full(k, -1), np.zeros(k)
         answers: dict[int, np.ndarray] = {}
-        open_ = np.ones(k, bool)
-        # every link between two groups has an end outside the largest
+        open_ = asked
         while open_.any():
             i = int(np.argmax(np.where(open_, self.weight, -1)))
-            shared = answers[i] = self.overlaps(i, int(near[i]), answers)
+            shared = answers[i] = self.overlaps(i, int(near[i]), answers).astype(np.int32)
             done[i] = True
             linked = shared >= _enough(self.sizes, self.sizes[i], percent)
             joined = np.unique(group[linked])
@@ -369,7 +384,8 @@ class Family:
             closer = shared / np.maximum(self.sizes, self.sizes[i])
             better = closer > share
             share[better], near[better] = closer[better], i
-            open_ = ~done & (group != np.bincount(group).argmax())
+            settled = np.bincount(group).argmax() if asked.all() else group[fixed[0]] if len(fixed) else -1
+            open_ = asked & ~done & (group != settled)
         order = np.argsort(-self.weight, kind="stable")
         names, first = np.unique(group[order], return_index=True)
         return order[first][np.searchsorted(names, group)]
@@ -378,14 +394,14 @@ class Family:
 def _search(percent: int, kept: list[str]):
     """The groups of every family or block: rows (kept columns, node, label before, label after).
 
-    Rows (place, node, label, items) come ordered by place; sets that come
-    twice count once.
+    Rows (place, node, label, asked, main, items) come ordered by place; sets
+    that come twice count once, and are asked if one of them is.
     """
 
     def solve(rows: dict[bytes, tuple]) -> list[tuple]:
-        nodes, labels, sets = list(rows), [r[0] for r in rows.values()], [r[1] for r in rows.values()]
+        nodes, (labels, sets, asked, main) = list(rows), zip(*rows.values(), strict=True)
         numbers = {x: i for i, x in enumerate(dict.fromkeys(labels))}
-        named = Family(sets).join(np.array([numbers[x] for x in labels]), percent)
+        named = Family(sets).join(np.array([numbers[x] for x in labels]), percent, np.array(asked), np.array(main))
         return [(node, label, nodes[j]) for node, label, j in zip(nodes, labels, named.tolist(), strict=True)]
 
     def run(batches):
@@ -398,13 +414,13 @@ def _search(percent: int, kept: list[str]):
         for batch in batches:
             items = batch.column("items")
             bounds, values = items.offsets.to_numpy(), items.values.to_numpy(zero_copy_only=False)
-            names = [batch.column(c).to_pylist() for c in ("node", "label", *kept)]
-            for i, (node, label, *own) in enumerate(zip(*names, strict=True)):
+            names = [batch.column(c).to_pylist() for c in ("node", "label", "asked", "main", *kept)]
+            for i, (node, label, asked, main, *own) in enumerate(zip(*names, strict=True)):
                 if own != place:
                     if rows:
                         yield out()
                     place, rows = own, {}
-                rows[node] = (label, values[bounds[i] : bounds[i + 1]].copy())
+                rows[node] = (label, values[bounds[i] : bounds[i + 1]].copy(), asked or (node in rows and rows[node][2]), main)
         if rows:
             yield out()
 
@@ -412,8 +428,8 @@ def _search(percent: int, kept: list[str]):
 
 
 def _found(sets: DataFrame, percent: int, place: list[str]) -> DataFrame:
-    """(node, before, label) of the groups of ``sets`` (place columns, node, label, items)."""
-    ordered = sets.select(*place, "node", "label", "items").repartition(*place).sortWithinPartitions(*place)
+    """(node, before, label) of the groups of ``sets`` (place columns, node, label, asked, main, items)."""
+    ordered = sets.select(*place, "node", "label", "asked", "main", "items").repartition(*place).sortWithinPartitions(*place)
     return ordered.mapInArrow(_search(percent, place), "node binary, before binary, label binary")
 
 
@@ -511,32 +527,40 @@ def _labels(texts: DataFrame, nodes: DataFrame, edges: DataFrame, size: int, per
         F.col("node").alias("label"),
         F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS)).alias("bucket"),
     )
-    members = materialize(members, "members")
+    members = materialize(members.withColumns({"asked": F.lit(True), "main": F.lit(False)}), "members")
     found = materialize(_found(_sets_of(texts, members, size), percent, ["family", "block"]), "labels")
     labels = found.select("node", "label")
     if not large.limit(1).count():
         return labels
 
-    sets = materialize(_sets_of(texts, members.where("blocks > 1").drop("label"), size), "family-sets")
+    sets = materialize(_sets_of(texts, members.where("blocks > 1").drop("label", "asked", "main"), size), "family-sets")
     labels = materialize(labels.join(members.select("node", "family", "block", "blocks"), "node"), "block-labels")
     # first the sets that name the groups of a family's blocks meet
     ends = sets.join(labels.where("node = label AND blocks > 1").select("node", "label"), "node")
     counts = ends.groupBy("family").agg(F.count("*").alias("sets"), F.sum(F.size("items")).alias("items"))
     parts = F.greatest(F.ceil(F.col("sets") / FAMILY_SETS), F.ceil(F.col("items") / FAMILY_ITEMS)).cast("long")
     ends = ends.join(materialize(counts.select("family", parts.alias("parts")), "ends"), "family")
-    ends = ends.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    ends = ends.withColumns({"part": F.pmod(F.xxhash64("node"), F.col("parts")), "asked": F.lit(True), "main": F.lit(False)})
     labels = _renamed(labels, materialize(_found(ends, percent, ["family", "part"]), "ends-met"))
-    # blocks of families that are still more than one group meet in pairs
-    spans = labels.where("blocks > 1").groupBy("family", "block").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    spans = materialize(spans, "spans")
-    one, two = (spans.select("family", *(F.col(c).alias(f"{c}_{x}") for c in ("block", "low", "high"))) for x in "ab")
-    pairs = one.join(two, "family").where("block_a < block_b AND (low_a <> high_a OR low_b <> high_b OR low_a <> low_b)")
-    pairs = materialize(pairs.select("family", "block_a", "block_b"), "block-pairs")
-    if not pairs.limit(1).count():
+    # what the largest group of a family leaves out meets every block
+    groups = labels.where("blocks > 1").groupBy("family", "label").agg(F.count("*").alias("sets"))
+    main = materialize(groups.groupBy("family").agg(F.max(F.struct("sets", "label")).alias("g")).select("family", "g.label"), "main-groups")
+    out = labels.where("blocks > 1").join(main.withColumnRenamed("label", "main"), "family").where("label <> main")
+    out = materialize(sets.join(out.select("node", "label"), "node"), "outside")
+    counts = out.groupBy("family", "blocks").agg(F.count("*").alias("sets"), F.sum(F.size("items")).alias("items"))
+    parts = F.greatest(F.ceil(F.col("sets") / FAMILY_SETS), F.ceil(F.col("items") / FAMILY_ITEMS)).cast("long")
+    parts = materialize(counts.select("family", parts.alias("parts")), "outside-parts")
+    if not parts.limit(1).count():
         return labels.select("node", "label")
-    now = sets.select("node", "items").join(labels, "node")
-    sides = [now.join(pairs.withColumn("block", F.col(c)), ["family", "block"]) for c in ("block_a", "block_b")]
-    met = _found(sides[0].unionByName(sides[1]), percent, ["family", "block_a", "block_b"])
+    columns = ["family", "block", "part", "node", "label", "asked", "main", "items"]
+    every_block = F.explode(F.expr("sequence(0L, blocks - 1)"))
+    asked = out.join(parts, "family").withColumns({"part": F.pmod(F.xxhash64("node"), F.col("parts")), "block": every_block})
+    asked = asked.withColumns({"asked": F.lit(True), "main": F.lit(False)})
+    there = sets.select("node", "items").join(labels.select("node", "family", "block", "label"), "node").join(parts, "family")
+    there = there.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
+    there = there.join(main.select("family", F.col("label").alias("of_main")), "family")
+    there = there.withColumns({"asked": F.lit(False), "main": F.col("label") == F.col("of_main")})
+    met = _found(asked.select(*columns).unionByName(there.select(*columns)), percent, ["family", "block", "part"])
     return _renamed(labels, materialize(met, "met")).select("node", "label")
 
 
