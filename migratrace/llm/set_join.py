@@ -45,8 +45,9 @@ FAMILY_SETS = 1 << 10
 FAMILY_ITEMS = 1 << 19
 #: Bits of a digest that name a set in the index.
 SHORT_BITS = 64
-#: Ranges of the hash order whose counts bound an overlap before sets are fetched.
-RANGES = 256
+#: Bits of the number of ranges of the hash order whose counts bound an overlap before sets are fetched: at least, at
+#: most; between them there is a range for every two shingles of a set, or less than two.
+RANGE_BITS = (8, 12)
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -129,16 +130,22 @@ def _short(node: bytes, bits: int) -> int:
 
 
 def _profile(values: np.ndarray) -> bytes:
-    """How many shingles lie in each of RANGES equal parts of the hash order, 255 for that many and more."""
-    counts = np.bincount((values >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+    """How many shingles lie in each of equal parts of the hash order, 255 for that many and more."""
+    low, high = RANGE_BITS
+    bits = min(max((len(values) // 2).bit_length(), low), high)
+    counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def _profiles(column: list[bytes]) -> np.ndarray:
-    """The counts of every row; 255 becomes a number that bounds nothing."""
-    rows = np.frombuffer(b"".join(column), np.uint8).reshape(-1, RANGES).astype(np.int16)
-    rows[rows == 255] = np.iinfo(np.int16).max
-    return rows
+    """The counts of every row by the widest ranges among them; 255 becomes a number that bounds nothing."""
+    width = min(map(len, column))
+    out = np.empty((len(column), width), np.int32)
+    for row, raw in zip(out, column, strict=True):
+        counts = np.frombuffer(raw, np.uint8).astype(np.int32)
+        counts[counts == 255] = 1 << 20
+        row[:] = counts.reshape(width, -1).sum(axis=1)
+    return out.astype(np.int16) if out.max() < 1 << 15 else out
 
 
 def _scan(size: int, bits: int):
