@@ -43,9 +43,10 @@ def formats_of(formats: Formats, name: str) -> Sequence[str]:
 
 
 def date_formats(df: DataFrame, names: Sequence[str]) -> dict[str, Sequence[str]]:
-    """Day first or month first, for each column as a whole: whichever reads more of it, month first on a tie.
+    """Day first or month first, one order for all the columns: whichever reads more of their values, month first on a tie.
 
-    One aggregate over all values of all the columns.
+    An export writes its dates in one way, so a column whose days are all small
+    follows the others.  One aggregate over all values of all the columns.
     """
     present = [n for n in dict.fromkeys(names) if n in df.columns]
     if not present:
@@ -56,7 +57,8 @@ def date_formats(df: DataFrame, names: Sequence[str]) -> dict[str, Sequence[str]
         for kind, f in (("day", DAY_FIRST), ("month", MONTH_FIRST))
     ]
     found = df.agg(*counts).first()
-    return {n: DAY_FIRST if found[f"day{i}"] > found[f"month{i}"] else MONTH_FIRST for i, n in enumerate(present)}
+    day, month = (sum(found[f"{kind}{i}"] for i in range(len(present))) for kind in ("day", "month"))
+    return dict.fromkeys(present, DAY_FIRST if day > month else MONTH_FIRST)
 
 
 def number(c: Column) -> Column:

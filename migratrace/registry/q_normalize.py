@@ -82,6 +82,21 @@ def dates_mixed(spark, folder):
     )
 
 
+def dates_two_columns(spark, folder):
+    """An export whose creation dates all have days up to 12 and whose closing dates do not: one order reads both."""
+    orders = table(spark, folder, "orders")
+    early = F.date_add(F.trunc("o_orderdate", "month"), F.dayofmonth("o_orderdate") % 12).cast("timestamp")
+    closed = F.date_add(F.last_day("o_orderdate"), (F.col("o_orderkey") % 20).cast("int")).cast("timestamp")
+    written = orders.select(
+        F.col("o_orderkey").alias(N.NUMBER),
+        F.date_format(early, "dd/MM/yyyy HH:mm").alias(N.CREATED),
+        F.date_format(closed, "dd/MM/yyyy").alias(N.CLOSED),
+    )
+    found = date_formats(written, [N.CREATED, N.CLOSED])
+    times = [parse_timestamp(col(n), found[n]) for n in (N.CREATED, N.CLOSED)]
+    return written.select(N.NUMBER, times[0].alias("Created_Date"), times[1].alias("Closed_Date"), time_to_resolve(*times).alias("Time_to_Resolve"))
+
+
 def severity_digit_fallback(spark, folder):
     return with_severity(raw_tickets(spark, folder)).select(N.NUMBER, N.PRIORITY, "Severity")
 
@@ -124,6 +139,7 @@ QUERIES = {
     "dates_month_first": dates_month_first,
     "dates_day_first": dates_day_first,
     "dates_mixed": dates_mixed,
+    "dates_two_columns": dates_two_columns,
     "normalize_canonical": normalize_canonical,
     "canonical_texts": canonical_texts,
     "severity_dictionary": severity_dictionary,
@@ -139,6 +155,12 @@ SQL = {
     "dates_month_first": "SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS parsed FROM orders",
     "dates_day_first": "SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS parsed FROM orders",
     "dates_mixed": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(o_orderdate AS TIMESTAMP) END AS parsed FROM orders",
+    "dates_two_columns": """
+        SELECT o_orderkey AS "Number", created AS "Created_Date", closed AS "Closed_Date",
+        CASE WHEN closed > created THEN CAST(epoch(closed - created) AS DOUBLE) / 3600 ELSE 0.1 END AS "Time_to_Resolve"
+        FROM (SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) + to_days(CAST(day(o_orderdate) % 12 AS INTEGER)) AS TIMESTAMP) AS created,
+              CAST(last_day(o_orderdate) + to_days(CAST(o_orderkey % 20 AS INTEGER)) AS TIMESTAMP) AS closed FROM orders)
+    """,
     "normalize_canonical": with_views("canonical", "SELECT * EXCLUDE (ticket_number) FROM canonical"),
     "canonical_texts": with_views(
         "raw",

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from migratrace.functions.columns import DAY_FIRST, MONTH_FIRST, date_formats, parse_timestamp
+from migratrace.plans.study import classify_export, normalize_export
 from migratrace.operators.classify import flag_migration_noise
 from migratrace.operators.blocks import pairwise
 from migratrace.operators.facts import domain_crosstab, severity_crosstab
@@ -20,10 +21,22 @@ def parsed(spark, values, formats):
     return [str(r[0]) if r[0] else None for r in df.select(parse_timestamp(F.col("d"), formats)).collect()]
 
 
-def test_dates_are_read_in_the_order_that_reads_more_of_the_column(spark):
-    values = [("05/13/2024 10:30", "13/05/2024", "2024-05-01"), ("05/01/2024", "05/01/2024", "03/04/2024")]
-    found = date_formats(spark.createDataFrame(values, "a string, b string, c string"), ["a", "b", "c", "none"])
-    assert found == {"a": MONTH_FIRST, "b": DAY_FIRST, "c": MONTH_FIRST}
+def test_dates_of_an_export_are_read_in_the_order_that_reads_more_of_them(spark):
+    values = [("05/01/2024 10:30", "13/05/2024", "2024-05-01"), ("05/01/2024", "20/01/2024", "03/04/2024")]
+    df = spark.createDataFrame(values, "a string, b string, c string")
+    assert date_formats(df, ["a", "b", "c", "none"]) == dict.fromkeys("abc", DAY_FIRST)
+    assert date_formats(df, ["a", "c"]) == dict.fromkeys("ac", MONTH_FIRST) and date_formats(df, ["none"]) == {}
+
+
+def test_an_export_with_one_undecided_column_gets_its_hours_right(spark):
+    rows = [("1", "Payroll", "05/01/2024 08:00", "13/01/2024 08:00"), ("2", "Payroll", "03/02/2024", "20/02/2024")]
+    raw = spark.createDataFrame(rows, "Number string, `Business Service` string, Created string, Closed string")
+    canonical = normalize_export(classify_export(raw)).orderBy("Ticket_ID").collect()
+    assert [str(r["Created_Date"]) for r in canonical] == ["2024-01-05 08:00:00", "2024-02-03 00:00:00"]
+    assert [r["Time_to_Resolve"] for r in canonical] == [192.0, 408.0]
+
+
+def test_both_orders_read_their_own_texts(spark):
     assert parsed(spark, ["05/13/2024 10:30", "5/1/2024 1:05:09 PM"], MONTH_FIRST) == ["2024-05-13 10:30:00", "2024-05-01 13:05:09"]
     assert parsed(spark, ["13-05-2024 10:30:01", "13/05/2024"], DAY_FIRST) == ["2024-05-13 10:30:01", "2024-05-13 00:00:00"]
     assert parsed(spark, ["45321", "2024", "20240501", " 2024-05-01 ", "", None], DAY_FIRST) == [
