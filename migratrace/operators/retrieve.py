@@ -87,6 +87,11 @@ def _lifted(df: DataFrame, is_query: bool) -> DataFrame:
     )
 
 
+def lifted_vectors(df: DataFrame, key: str, vector: str, is_query: bool) -> DataFrame:
+    """Usable vectors (id, vec) such that distance order is cosine order."""
+    return _lifted(_vectors(df, key, vector), is_query)
+
+
 def _blocked(queries: DataFrame, corpus: DataFrame, k: int, per_block: int, max_cells: int) -> DataFrame:
     """Both sides in bounded blocks; only blocks that can hold a neighbour meet.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -16,8 +17,9 @@ from migratrace.operators.retrieve import (
     retrieve_tickets,
     top_k_similar,
 )
+from migratrace.operators.vector_index import VectorIndex, recall
 from migratrace.registry.tickets import table
-from migratrace.session import materialize
+from migratrace.session import materialize, own_folder
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -66,6 +68,28 @@ def similar_topk_nan(spark, folder):
     return both.select("Query_ID", "vec_id", "Rank")
 
 
+def _index(spark, folder):
+    """Two thirds of the vectors as the first batch, the rest appended."""
+    vectors = _vectors(spark, folder)
+    place = f"{own_folder(spark)}/vector-index-{uuid.uuid4().hex}"
+    VectorIndex.build(vectors.where("vec_id % 3 <> 0"), place, "vec_id", per_block=32).append(vectors.where("vec_id % 3 = 0"), "vec_id")
+    return vectors.withColumnRenamed("vec_id", "Query_ID"), VectorIndex(spark, place, per_block=32)
+
+
+def similar_topk_indexed(spark, folder):
+    """Every vector against an index that was built, appended to and opened anew."""
+    queries, index = _index(spark, folder)
+    return _rounded(index.search(queries, key="vec_id"))
+
+
+def similar_topk_probed(spark, folder):
+    """The approximate mode against the exact one, over all vectors."""
+    queries, index = _index(spark, folder)
+    exact = top_k_similar(queries, queries.withColumnRenamed("Query_ID", "vec_id"), key="vec_id")
+    found = index.search(queries, key="vec_id", probes=index.probes_for(queries))
+    return recall(found, exact, key="vec_id").select("Queries", (F.col("Recall") >= 0.9).alias("Recall_Reached"))
+
+
 def _past_tickets(spark, folder):
     docs = table(spark, folder, "documents").select(
         F.col("doc_id").alias("Ticket_ID"), F.col("text").alias("Description_Text"),
@@ -95,6 +119,8 @@ QUERIES = {
     "similar_topk": similar_topk,
     "similar_topk_blocked": similar_topk_blocked,
     "similar_topk_nan": similar_topk_nan,
+    "similar_topk_indexed": similar_topk_indexed,
+    "similar_topk_probed": similar_topk_probed,
     "resolution_prompt": resolution_prompt,
     "resolve_tickets": resolve_tickets_query,
 }
@@ -140,6 +166,8 @@ Past tickets:
 SQL = {
     "similar_topk": _TOPK,
     "similar_topk_blocked": _TOPK,
+    "similar_topk_indexed": _TOPK,
+    "similar_topk_probed": """SELECT count(*) AS "Queries", true AS "Recall_Reached" FROM embeddings""",
     "similar_topk_nan": """SELECT q AS "Query_ID", v AS vec_id, CAST(row_number() OVER (PARTITION BY q ORDER BY s DESC, v) AS INTEGER) AS "Rank"
 FROM (SELECT a.vec_id AS q, b.vec_id AS v, round_even(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) * 1e12, 0) / 1e12 AS s
   FROM embeddings a, embeddings b WHERE a.vec_id % 7 >= 3 AND b.vec_id % 7 >= 3)
