@@ -1,6 +1,8 @@
 import tempfile
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from migratrace.registry.tickets import raw_tickets
 from migratrace.operators.classify import classify
 from migratrace.session import shared_folder
@@ -21,6 +23,32 @@ def test_csv_header_copies_and_missing_texts(spark):
     assert S.dataset_name(path) == "My.Export"
 
 
+def test_header_names_are_those_of_the_file(spark):
+    folder = tempfile.mkdtemp()
+    for i, (line, names) in enumerate(
+        [
+            ("Number,Severity1,Severity2,Title", ["Number", "Severity1", "Severity2", "Title"]),
+            ("Number,Area0,Area0,area0", ["Number", "Area0", "Area0.1", "area0.2"]),
+            ("a,a,a.1,,x y", ["a", "a.2", "a.1", "_c3", "x y"]),
+        ]
+    ):
+        path = f"{folder}/{i}.csv"
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(line + "\n" + ",".join(str(k) for k in range(len(names))) + "\n")
+        df = S.read_export(spark, path)
+        assert df.columns == names
+        assert [list(r) for r in df.collect()] == [[str(k) for k in range(len(names))]]
+
+
+def test_texts_survive_a_csv_export(spark):
+    texts = ["a\rb", "a\r\nb\n", "  both ends ", 'say "x", \\"', "\r", ",", None, "plain"]
+    path = f"{tempfile.mkdtemp()}/t.csv"
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    S.export_csv(rows, path, quote_all=True)
+    back = S.read_export(spark, path, line_end="\n")
+    assert [r["text"] for r in back.orderBy(F.col("i").cast("int")).collect()] == texts
+
+
 def test_stage_replacement_keeps_other_datasets(spark):
     base = tempfile.mkdtemp()
     S.write_stage(spark.range(3), base, "catalog", "b")
