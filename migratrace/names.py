@@ -37,6 +37,7 @@ CLOSED = "Closed"
 REOPENS = "Reopen count"
 OPCO = "Impacted OpCo"
 
+# ---- fixed values: label columns of a classified ticket ---------------------
 LABEL_COLUMNS = (
     "System_Type",
     "System_Subtype",
@@ -48,7 +49,7 @@ LABEL_COLUMNS = (
     "post_migration_noise",
 )
 
-# ---- the canonical ticket: 23 columns in this order ------------------------
+# ---- fixed values: the canonical ticket, 23 columns in this order ------------------------
 CANONICAL_SCHEMA = T.StructType(
     [
         T.StructField("Ticket_ID", T.StringType()),

@@ -199,6 +199,7 @@ def reopened_drilldown(tickets: DataFrame, catalog: DataFrame, top: int | None =
 
 def reopened_details(tickets: DataFrame, top: int = TOP_REOPENED_TICKETS) -> DataFrame:
     reopened = of_two_systems(tickets).where(F.coalesce(F.col("Reopen_Flag"), F.lit(False)))
+    # fixed values: the columns of the report
     wanted = (
         "Ticket_ID", "System_Type", "System_Subtype", "Domain", "OpCo", "Short_Description",
         "Severity", "Reopen_Count", "Time_to_Resolve",

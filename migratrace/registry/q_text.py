@@ -109,8 +109,12 @@ def errors_sql(c: str) -> str:
     return f"array_to_string(list_sort(list_distinct(regexp_extract_all(lower({c}), '{X.ERROR_CODE}'))), ' ')"
 
 
-_TOKENS = f"""list_filter(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'),
+def tokens_sql(c: str) -> str:
+    return f"""list_filter(regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}_]+'),
   lambda x: regexp_full_match(x, '\\p{{L}}+') AND x NOT IN ({X.stop_list_sql()}))"""
+
+
+_TOKENS = tokens_sql("text")
 _FULL = """'Glassrun ERR-4711 ' || role || ' ' || CASE WHEN role <> 'system' THEN coalesce(text, '') ELSE '' END || ' '"""
 
 SQL = {
