@@ -156,8 +156,8 @@ def resolution_prompts(
 
     described = F.regexp_replace(F.concat(part("Short_Description"), F.lit(" "), part("Description_Text")), r"(?U)^\s+|\s+$", "")
     block = F.concat(
-        F.lit("--- Ticket "), F.col("Rank").cast("string"), F.lit(" (Similarity: "), fixed(F.col("Similarity"), 2),
-        F.lit(") ---\nDescription: "), described, F.lit("\nResolution Notes: "), part("Resolution_Notes"),
+        F.lit("#"), F.col("Rank").cast("string"), F.lit(" cosine "), fixed(F.col("Similarity"), 2),
+        F.lit("\nReported: "), described, F.lit("\nSolved by: "), part("Resolution_Notes"),
     )
     context = (
         hits.groupBy(col(query_key).alias("__q"))

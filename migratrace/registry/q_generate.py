@@ -178,9 +178,9 @@ SQL = {
     "summary_prompt": with_views(
         "catalog",
         f"""SELECT concat_ws(chr(10), 'Report.',
-        'Total tickets: ' || (SELECT count(*) FROM clustered) || ' | Legacy: ' || (SELECT count(*) FROM clustered WHERE "System_Type" = 'Legacy')
-          || ' | DBB: ' || (SELECT count(*) FROM clustered WHERE "System_Type" = 'DBB'),
-        'Reopen Rate - Legacy: ' || {_rate("Legacy")} || ', DBB: ' || {_rate("DBB")},
+        (SELECT count(*) FROM clustered) || ' tickets in all; Legacy ' || (SELECT count(*) FROM clustered WHERE "System_Type" = 'Legacy')
+          || ', DBB ' || (SELECT count(*) FROM clustered WHERE "System_Type" = 'DBB'),
+        'Share opened again: Legacy ' || {_rate("Legacy")} || ', DBB ' || {_rate("DBB")},
         chr(10) || 'Monthly volume (last 12 months)',
         (SELECT string_agg('YearMonth=' || m || ' ' || {_CELLS}, chr(10) ORDER BY m) FROM
           (SELECT strftime("Created_Date", '%Y-%m') AS m, {_FOUR} FROM clustered GROUP BY 1 ORDER BY 1 DESC LIMIT 12)),

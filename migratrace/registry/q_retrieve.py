@@ -143,9 +143,9 @@ hits AS (
   FROM (SELECT item_id, doc_id, coalesce(round_even(nullif(list_cosine_similarity(q.e, d.e), 'nan'::DOUBLE) * 1e12, 0) / 1e12, 0) AS s FROM q, d) QUALIFY rank <= 5
 ),
 context AS (
-  SELECT item_id, string_agg('--- Ticket ' || rank || ' (Similarity: ' || printf('%.2f', round_even(s * 100, 0) / 100) || ') ---
-Description: ' || regexp_replace('Report from ' || source || ' ' || text, '^[\\s\\x{{85}}\\p{{Z}}]+|[\\s\\x{{85}}\\p{{Z}}]+$', '', 'g') || '
-Resolution Notes: ' || 'Handled in ' || lang, '
+  SELECT item_id, string_agg('#' || rank || ' cosine ' || printf('%.2f', round_even(s * 100, 0) / 100) || '
+Reported: ' || regexp_replace('Report from ' || source || ' ' || text, '^[\\s\\x{{85}}\\p{{Z}}]+|[\\s\\x{{85}}\\p{{Z}}]+$', '', 'g') || '
+Solved by: ' || 'Handled in ' || lang, '
 
 ' ORDER BY rank) AS context FROM hits JOIN d USING (doc_id) GROUP BY 1
 )

@@ -91,10 +91,10 @@ def test_prompts_and_answers(spark):
     past = past.withColumn("Embedding", F.when(F.col("Ticket_ID") == "a", F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.6), F.lit(0.8))))
     new = spark.createDataFrame([(1, "xx"), (2, "xxyy")], "Query_ID int, Ticket_Text string")
     load_encoder = lambda: (lambda texts: np.array([[t.count("x"), t.count("y")] for t in texts], dtype=float))
-    answers, hits = resolve_tickets(new, past, load_encoder, lambda: (lambda p, n: f"{n}:{p.count('--- Ticket')}"))
+    answers, hits = resolve_tickets(new, past, load_encoder, lambda: (lambda p, n: f"{n}:{p.count(' cosine ')}"))
     assert {r["Query_ID"]: r["Reply"] for r in answers.collect()} == {1: "500:2", 2: "500:2"}
     prompt = resolution_prompts(new, hits, task="T").where("Query_ID = 1").first()["Prompt"]
-    assert "--- Ticket 1 (Similarity: 1.00) ---\nDescription: Sync fails\nResolution Notes: restart\n\n--- Ticket 2 (Similarity: 0.60) ---\nDescription: Login page\nResolution Notes: \n" in prompt
+    assert "#1 cosine 1.00\nReported: Sync fails\nSolved by: restart\n\n#2 cosine 0.60\nReported: Login page\nSolved by: \n" in prompt
     assert retrieve_tickets(new.withColumn("Embedding", F.array(F.lit(0.0), F.lit(1.0))), past, 1).select("Ticket_ID").distinct().collect()[0][0] == "b"
 
 
