@@ -83,14 +83,5 @@ def words(c: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     return _without(F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(TERM_TOKEN), F.lit(0)), stop_words)
 
 
-def with_pairs(found: Column) -> Column:
-    """The words and the pairs of neighbours.  ``found`` occurs several times in
-    the result, so it should be a column that holds the words already."""
-    pairs = F.zip_with(
-        found, F.slice(found, 2, F.greatest(F.size(found), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b)
-    )
-    return F.concat(found, F.filter(pairs, lambda p: p.isNotNull()))
-
-
 def stop_list_sql(stop_words: Sequence[str] = STOP_WORDS) -> str:
     return ", ".join(sql_text(w) for w in stop_words)

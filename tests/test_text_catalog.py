@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from migratrace.functions.text import STOP_WORDS, clean_text, error_codes
 from migratrace.operators.catalog import build_catalog, cluster_cohesion, cluster_keywords, primary_domains
 from migratrace.operators.embed import embed, hashed_embedding
 from migratrace.operators.quantiles import exact_median
+from migratrace.operators.terms import Summary, count_terms, frequent_candidates, vocabulary_counts
 from migratrace.operators.textprep import lemmatize, prepare_text
 
 
@@ -77,11 +79,50 @@ def test_keywords_against_brute_force(spark):
     docs[2] = ["the of a", ""]
     rows = [(f"{c}-{i}", c, t) for c, texts in docs.items() for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "Ticket_ID string, Cluster_ID int, Lemma_Text string")
-    for limit in (1000, 6):
-        got = {r["Cluster_ID"]: r["Top_Keywords"] for r in cluster_keywords(df, max_terms=limit).collect()}
+    for limit, counters in ((1000, 16_000), (6, 16_000), (6, 12), (6, 2), (1000, 1)):
+        found = cluster_keywords(df, max_terms=limit, counters=counters)
+        got = {r["Cluster_ID"]: r["Top_Keywords"] for r in found.collect()}
         assert got == {c: brute_keywords(texts, limit) for c, texts in docs.items()}
 
 
+def test_summaries_bound_the_counts():
+    rng = random.Random(3)
+    true, summary = Counter(), Summary(10)
+    for _ in range(400):
+        text = [f"w{int(rng.expovariate(0.08))}" for _ in range(12)]
+        true.update(text)
+        summary.add(text)
+    assert summary.error > 0 and len(summary.counts) <= 20
+    for term, n in true.items():
+        low = summary.counts.get(term, 0)
+        assert low <= n <= low + summary.error
+
+
+def test_vocabulary_from_summaries_is_exact(spark):
+    """Whatever the summaries hold and however often a task flushes them, the counts are those of all texts."""
+    rng = random.Random(8)
+    rows = [(c, " ".join(f"w{min(int(rng.expovariate(0.1)), 40)}" for _ in range(rng.randint(0, 30)))) for c in ["a", "b", None] for _ in range(60)]
+    want = {}
+    for c in ("a", "b"):
+        uses, docs = Counter(), Counter()
+        for d, text in rows:
+            if d == c:
+                words = text.split()
+                grams = words + [f"{x} {y}" for x, y in zip(words, words[1:])]
+                uses.update(grams)
+                docs.update(set(grams))
+        for term in sorted(uses, key=lambda t: (-uses[t], t))[:8]:
+            want[c, term] = (uses[term], docs[term])
+    texts = spark.createDataFrame(rows, "cluster string, words string").repartition(3)
+    for counters, task_counters in ((16_000, 1 << 20), (150, 1 << 20), (40, 90), (3, 5)):
+        counts, lows, sizes = count_terms(texts, counters, task_counters)
+        assert {(r["cluster"], r["n"]) for r in sizes.collect()} == {("a", 60), ("b", 60)}
+        kept, hits = vocabulary_counts(counts, frequent_candidates(counts, lows, sizes, 8), 8)
+        assert {(r["cluster"], r["term"]): (r["uses"], r["docs"]) for r in kept.collect()} == want
+    empty = count_terms(texts.limit(0))
+    assert vocabulary_counts(empty[0], frequent_candidates(*empty, 8), 8)[0].count() == 0
+
+
 def test_cohesion_equals_pairwise_mean(spark):
     rng = np.random.default_rng(0)
     groups = {0: rng.normal(size=(12, 6)), 1: rng.normal(size=(1, 6)), 2: np.vstack([np.zeros((1, 6)), rng.normal(size=(4, 6))])}
