@@ -8,6 +8,7 @@ from migratrace import names as N
 from migratrace.functions.columns import col
 from migratrace.operators.classify import class_distribution, classify, review_queue
 from migratrace.operators.schema_map import map_columns
+from migratrace.plans.study import classify_export
 from migratrace.registry.tickets import classified_tickets, raw_tickets, with_views
 
 _LABELS = (
@@ -63,7 +64,14 @@ def map_columns_renamed(spark, folder):
     return mapped.select(*[col(c).alias(c.replace(" ", "_")) for c in mapped.columns])
 
 
+def classified_export(spark, folder):
+    """A foreign export with its own columns as they are, the labels beside them, and no mapped column left."""
+    out = classify_export(renamed_export(spark, folder))
+    return out.select(*[col(c).alias(c.replace(" ", "_").replace(".", "_")) for c in out.columns])
+
+
 QUERIES = {
+    "classified_export": classified_export,
     "classify_cascade": classify_cascade,
     "class_distribution": class_distribution_query,
     "review_queue": review_queue_query,
@@ -72,6 +80,15 @@ QUERIES = {
 }
 
 SQL = {
+    "classified_export": with_views(
+        "classified",
+        f"""SELECT "Number" AS "Ticket_ID", "Configuration item" AS "CI", "Service offering" AS "Product",
+        "Assignment group" AS "Resolver_group", "Business service" AS "App_service", "Short description" AS "Title",
+        "Priority" AS "Urgency", "Created" AS "Opened", "Closed" AS "Resolved", "Reopen count" AS "Reopens",
+        "Impacted OpCo" AS "Country", 'someone' AS "Opened_by", "Created" AS "Updated", 'decoy' AS "Domain",
+        'decoy' AS "Translated_description", 'decoy' AS "Identity", 'decoy' AS "Ticket_ID_1", 'not a date' AS "Opened_1",
+        {_LABELS.removeprefix('"Number", ')}, post_migration_noise FROM classified""",
+    ),
     "classify_cascade": with_views("classified", f"SELECT {_LABELS} FROM classified"),
     "class_distribution": with_views(
         "classified", 'SELECT "System_Type", count(*) AS "count" FROM classified GROUP BY 1'

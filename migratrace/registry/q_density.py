@@ -80,7 +80,24 @@ cores AS (
     SELECT a, d FROM pairs QUALIFY row_number() OVER (PARTITION BY a ORDER BY d, b) <= {_SAMPLES}) GROUP BY 1
 )"""
 
+# the tree grown from the first of the distinct vectors: per step the reach of every vector that is not in it yet
+_TREE = """
+points AS (SELECT min(vec_id) AS id FROM embeddings GROUP BY embedding),
+reach AS MATERIALIZED (
+  SELECT p.a, p.b, greatest(p.d, x.core, y.core) AS w FROM pairs p
+  JOIN cores x ON x.id = p.a JOIN cores y ON y.id = p.b
+  WHERE p.a <> p.b AND p.a IN (SELECT id FROM points) AND p.b IN (SELECT id FROM points)
+),
+grown(step, v, w) AS (
+  SELECT 1, b, w FROM reach WHERE a = (SELECT min(id) FROM points)
+  UNION ALL
+  SELECT step + 1, v, least(g.w, r.w) FROM grown g JOIN reach r ON r.b = g.v WHERE r.a = (SELECT arg_min(v, w) FROM grown)
+),
+tree AS (SELECT step, min(w) AS w FROM grown GROUP BY 1)"""
+
 SQL = {
+    "spanning_weight": f"""WITH RECURSIVE {_PAIRS}, {_CORES}, {_TREE}
+SELECT count(*) AS edges, round_even(sum(w) * 1e4, 0) / 1e4 AS total, round_even(max(w) * 1e6, 0) / 1e6 AS widest FROM tree""",
     "adaptive_parameters": """SELECT count(*) AS "rows",
         CAST(CASE WHEN count(*) < 300 THEN 5 WHEN count(*) < 2000 THEN 12 WHEN count(*) < 10000 THEN 30 ELSE 50 END AS INTEGER) AS min_cluster_size,
         CAST(CASE WHEN count(*) < 300 THEN 2 WHEN count(*) < 2000 THEN 4 WHEN count(*) < 10000 THEN 10 ELSE 15 END AS INTEGER) AS min_samples

@@ -13,6 +13,8 @@ from migratrace.operators.normalize import (
     with_days_from_migration,
     with_severity,
 )
+from migratrace.plans.study import classify_export, normalize_export
+from migratrace.registry.q_classify import renamed_export
 from migratrace.registry.tickets import (
     CONVERSATION_SQL,
     canonical_tickets,
@@ -33,6 +35,11 @@ def normalize_canonical(spark, folder):
     return _text_free(canonical_tickets(spark, folder))
 
 
+def canonical_export(spark, folder):
+    """A labelled foreign export through the canonical column rules, decoy columns beside the real ones."""
+    return _text_free(normalize_export(classify_export(renamed_export(spark, folder))))
+
+
 def canonical_texts(spark, folder):
     """Whole texts of the canonical ticket, null parts included."""
     description, notes = col("Description_Text"), col("Resolution_Notes")
@@ -141,6 +148,7 @@ QUERIES = {
     "dates_mixed": dates_mixed,
     "dates_two_columns": dates_two_columns,
     "normalize_canonical": normalize_canonical,
+    "canonical_export": canonical_export,
     "canonical_texts": canonical_texts,
     "severity_dictionary": severity_dictionary,
     "severity_digit_fallback": severity_digit_fallback,
@@ -162,6 +170,7 @@ SQL = {
               CAST(last_day(o_orderdate) + to_days(CAST(o_orderkey % 20 AS INTEGER)) AS TIMESTAMP) AS closed FROM orders)
     """,
     "normalize_canonical": with_views("canonical", "SELECT * EXCLUDE (ticket_number) FROM canonical"),
+    "canonical_export": with_views("canonical", "SELECT * EXCLUDE (ticket_number) FROM canonical"),
     "canonical_texts": with_views(
         "raw",
         """SELECT "Number" AS "Ticket_ID", CAST(length(coalesce(d.text, '')) AS BIGINT) AS "Description_Length",
