@@ -25,6 +25,9 @@ SHARD = 4096
 #: Documents whose offsets one window adds up, about.
 CHUNK_ROWS = 1000
 _CELLS = 1024
+#: Rows that one window of a running sum holds; slots that one task makes, at most about.
+SPAN = 1024
+TASK_SLOTS = 1 << 22
 _PRIMES = (1_000_003, 1_000_033, 1_000_037, 1_000_039, 1_000_081, 1_000_099, 1_000_117)
 _TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
 
@@ -54,6 +57,22 @@ def source_targets(sized: DataFrame, *, weights=WEIGHTS, total: float = TOTAL, r
     return shared.select("sid", "source", "source_size", "n_docs", "weight", target.cast("double").alias("target"))
 
 
+def _running(frame: DataFrame, order: str, value: str) -> DataFrame:
+    """``before``: the sum of ``value`` over the rows of the same ``sid`` with a smaller ``order``.
+
+    ``order`` is a whole number that comes once per sid.  Sums are added up in
+    spans of SPAN numbers and over the spans, so that no window holds a large
+    source's rows.
+    """
+    spans = frame.withColumn("span", F.expr(f"{order} div {SPAN}"))
+    inside = W.partitionBy("sid", "span").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("sid").orderBy("span").rowsBetween(W.unboundedPreceding, -1)
+    sums = spans.groupBy("sid", "span").agg(F.sum(value).alias("all"))
+    first = sums.select("sid", "span", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("first"))
+    local = spans.withColumn("local", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return local.join(first, ["sid", "span"]).withColumn("before", F.col("first") + F.col("local")).drop("span", "first", "local")
+
+
 def _permuted(slots: DataFrame, seed: int) -> DataFrame:
     """``block``: slot number ``place`` of 0..n-1 under a permutation of these numbers that ``sid`` and ``seed`` set.
 
@@ -110,8 +129,8 @@ def drawn_slots(sources: DataFrame, *, block: int = BLOCK, shard: int = SHARD, r
     cells = cdf.select("sid", "low", "high", F.explode(F.expr(f"sequence(low div {cell}, (high - 1) div {cell})")).alias("cell"))
     cells = materialize(cells, "draw-cells")
     drawn = slots.join(cells, "cell").where("point >= low AND point < high").groupBy("sid", "shard").agg(F.count("*").alias("count"))
-    order = W.partitionBy("sid").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    placed = drawn.withColumn("start", F.coalesce(F.sum("count").over(order), F.lit(0)))
+    drawn = materialize(drawn, "draws")
+    placed = _running(drawn, "shard", "count").withColumnRenamed("before", "start")
     got = drawn.groupBy("sid").agg(F.sum("count").alias("start"))
     last = cdf.select("sid").join(got, "sid", "left").select("sid", F.lit(shards).alias("shard"), F.coalesce("start", F.lit(0)).alias("start"))
     ranges = placed.select("sid", "shard", "start", (F.col("start") + F.col("count")).alias("stop")).unionByName(
@@ -124,6 +143,9 @@ def drawn_slots(sources: DataFrame, *, block: int = BLOCK, shard: int = SHARD, r
         "sid", "shard", "n", (F.col("start") + F.col("part") * shard).alias("start"),
         F.least(F.col("start") + (F.col("part") + 1) * shard, "stop").alias("stop"),
     )
+    # the ranges are few rows, which would end up in few tasks; their slots are many
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_SLOTS))
+    used = used.repartition(tasks, "sid", "start")
     slots = used.select("sid", "shard", "n", F.explode(F.expr("sequence(start, stop - 1)")).alias("slot"))
     slots = slots.withColumn("pass", F.expr("slot div n")).withColumn("place", F.expr("slot % n"))
     slots = materialize(_permuted(slots, seed).select("shard", "sid", "slot", "pass", "block"), "slots")
@@ -170,8 +192,7 @@ class Mix:
         inside = W.partitionBy("sid", "chunk").orderBy("id", "print", "nth").rowsBetween(W.unboundedPreceding, -1)
         local = materialize(chunked.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0))), "offsets")
         sums = local.groupBy("sid", "chunk").agg(F.sum("size").alias("words"))
-        before = W.partitionBy("sid").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-        first = materialize(sums.select("sid", "chunk", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("first")), "chunks")
+        first = materialize(_running(sums, "chunk", "words").select("sid", "chunk", F.col("before").alias("first")), "chunks")
         self.placed = local.join(first, ["sid", "chunk"]).select(
             "id", "source", "print", "nth", "sid", "size", (F.col("first") + F.col("local")).alias("start")
         )
