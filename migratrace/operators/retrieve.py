@@ -104,7 +104,7 @@ def _blocked(queries: DataFrame, corpus: DataFrame, k: int, per_block: int, max_
     pivot_ids, pivots = choose_pivots(points, points.count(), max_cells, per_block)
     points, cells = describe_cells(to_cells(points, pivots), pivots, pivot_ids, per_block)
     asked, asked_cells = describe_cells(to_cells(asked, pivots), pivots, pivot_ids, per_block)
-    found = nearest_in_blocks(asked, asked_cells, points, cells, k, cosine=True)
+    found = nearest_in_blocks(asked, asked_cells, points, cells, k, cosine=True, per_block=per_block)
     return found.select(F.col("id").alias("query"), "other", (-F.col("distance")).alias("Similarity"), F.col("rank").alias("Rank"))
 
 

@@ -19,10 +19,9 @@ from migratrace.operators.blocks import (
     choose_pivots,
     describe_cells,
     matrix,
-    pairwise,
     to_cells,
 )
-from migratrace.operators.neighbours import nearest_in_blocks
+from migratrace.operators.neighbours import nearest_cells, nearest_in_blocks
 from migratrace.operators.retrieve import TOP_K, lifted_vectors
 from migratrace.session import materialize
 
@@ -129,19 +128,14 @@ class VectorIndex:
         """
         batches, cells = self._cells()
         asked = lifted_vectors(queries, query_key, vector, True)
-        placed = to_cells(asked, cells.pivots) if probes is None else _nearest_cells(asked, cells, probes)
-        placed, asked_cells = describe_cells(placed, cells.pivots, cells.pivot_ids, self.per_block)
-        if probes is None:
-            pairs = cells_within_reach(asked_cells, cells, k)
-        else:
-            met = np.flatnonzero(asked_cells.count)
-            pairs = np.stack([met, met], axis=1)
+        placed, asked_cells = describe_cells(to_cells(asked, cells.pivots), cells.pivots, cells.pivot_ids, self.per_block)
+        pairs = cells_within_reach(asked_cells, cells, k) if probes is None else _probed_pairs(placed, cells, probes)
         stored = self.rows_of(batches, sorted({int(c) for c in pairs[:, 1]}))
         # of equal vectors only the k smallest keys can be among the k nearest
         among_copies = F.row_number().over(Window.partitionBy("cell", "vec").orderBy("id"))
         stored = stored.withColumn("__copy", among_copies).where(F.col("__copy") <= k).drop("__copy")
         stored, stored_cells = describe_cells(materialize(stored, "stored"), cells.pivots, cells.pivot_ids, self.per_block)
-        found = nearest_in_blocks(placed, asked_cells, stored, stored_cells, k, cosine=True, pairs=pairs)
+        found = nearest_in_blocks(placed, asked_cells, stored, stored_cells, k, cosine=True, pairs=pairs, probes=probes, per_block=self.per_block)
         return found.select(
             F.col("id").alias(query_key), F.col("other").alias(key), (-F.col("distance")).alias("Similarity"), F.col("rank").cast("int").alias("Rank")
         )
@@ -165,7 +159,7 @@ class VectorIndex:
         filled = [int(c) for c in np.flatnonzero(cells.count)]
         hits = materialize(self.search(sample, k, query_key, "__hit", vector), "hits").select(col(query_key).alias("id"), "__hit")
         placed = hits.join(self.rows_of(batches, filled).select(F.col("id").alias("__hit"), "cell"), "__hit")
-        order = _nearest_cells(lifted_vectors(sample, query_key, vector, True), cells, len(filled)).select("id", "cell", "turn")
+        order = _nearest_cells(lifted_vectors(sample, query_key, vector, True), cells)
         found = placed.join(order, ["id", "cell"]).groupBy("turn").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per cell at most
         count = np.zeros(len(filled) + 1)
         for r in found:
@@ -173,23 +167,41 @@ class VectorIndex:
         return int(np.argmax(np.cumsum(count) >= target * count.sum())) or 1
 
 
-def _nearest_cells(asked: DataFrame, cells: Cells, probes: int) -> DataFrame:
-    """A row per query and each of its nearest cells that hold tickets; ``turn`` counts them from 1."""
-    filled = np.flatnonzero(cells.count)
-    shared = asked.sparkSession.sparkContext.broadcast((filled, cells.pivots[filled]))
+def _probed_pairs(placed: DataFrame, cells: Cells, probes: int) -> np.ndarray:
+    """The pairs of a query's own cell and one of its ``probes`` nearest cells that hold tickets."""
+    shared = placed.sparkSession.sparkContext.broadcast((cells.pivots, np.flatnonzero(cells.count)))
+
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pivots, filled = shared.value
+        seen: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not len(batch):
+                continue
+            best = nearest_cells(matrix(batch["vec"]), pivots, filled, probes)
+            for own, rows in batch.reset_index(drop=True).groupby("cell").indices.items():
+                seen.setdefault(int(own), np.zeros(len(pivots), dtype=bool))[best[rows].ravel()] = True
+        yield pd.DataFrame({"cell": list(seen), "marks": [np.packbits(m).tobytes() for m in seen.values()]})
+
+    met = np.zeros((len(cells.pivots), len(cells.pivots)), dtype=bool)
+    for r in placed.select("vec", "cell").mapInPandas(marked, "cell int, marks binary").toLocalIterator():  # a bit per cell, for each cell of a task
+        met[r["cell"]] |= np.unpackbits(np.frombuffer(r["marks"], np.uint8), count=met.shape[1]).astype(bool)
+    return np.argwhere(met)
+
+
+def _nearest_cells(asked: DataFrame, cells: Cells) -> DataFrame:
+    """A row per query and each cell that holds tickets, without the vector; ``turn`` counts them from 1, nearest first."""
+    shared = asked.sparkSession.sparkContext.broadcast((cells.pivots, np.flatnonzero(cells.count)))
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, pivots = shared.value
+        pivots, filled = shared.value
         for batch in batches:
             if len(batch):
-                gaps = pairwise(matrix(batch["vec"]), pivots)
-                best = np.argsort(gaps, axis=1, kind="stable")[:, :probes]
-                row = np.repeat(np.arange(len(batch)), best.shape[1])
-                flat = best.ravel()
-                yield batch.iloc[row].assign(cell=number[flat].astype(np.int32), reach=gaps[row, flat], turn=(np.arange(len(row)) % best.shape[1] + 1).astype(np.int32))
+                best = nearest_cells(matrix(batch["vec"]), pivots, filled, len(filled))
+                turn = np.tile(np.arange(1, best.shape[1] + 1, dtype=np.int32), len(batch))
+                yield pd.DataFrame({"id": np.repeat(batch["id"].to_numpy(), best.shape[1]), "cell": best.ravel().astype(np.int32), "turn": turn})
 
     kind = asked.schema["id"].dataType.simpleString()
-    return materialize(asked.mapInPandas(nearest, f"id {kind}, vec array<double>, cell int, reach double, turn int"), "probes")
+    return materialize(asked.mapInPandas(nearest, f"id {kind}, cell int, turn int"), "probes")
 
 
 def recall(found: DataFrame, exact: DataFrame, query_key: str = "Query_ID", key: str = "Ticket_ID") -> DataFrame:
