@@ -84,3 +84,16 @@ def test_labels_on_a_stream_equal_the_batch(spark):
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     labels = classify(raw).groupBy("System_Type").count().collect()
     assert sorted(map(tuple, labels)) == sorted(map(tuple, got.groupBy("System_Type").count().collect()))
+
+
+def test_text_tickets_are_exported_compressed_by_many_tasks(spark, monkeypatch, tmp_path):
+    from pathlib import Path
+
+    from migratrace.registry import q_sources
+
+    monkeypatch.setattr(q_sources, "_folder", lambda spark: str(tmp_path))
+    back = q_sources.csv_export(spark, "/root/testdata/sf0.001")
+    files = [f for f in Path(tmp_path, "tickets.csv").iterdir() if f.name.startswith("part-")]
+    assert len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(f.name.endswith(".csv.gz") for f in files)
+    assert back.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
