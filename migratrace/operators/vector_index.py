@@ -154,7 +154,8 @@ class VectorIndex:
         A hit is found if its cell is among those looked at, so one exact search
         gives the share for every number of probes.
         """
-        sample = materialize(queries.orderBy(F.xxhash64(col(query_key)), col(query_key)).limit(sampled_queries), "sampled")
+        # another hash than that of the pivots: a query that is a pivot finds more in its own cell than others do
+        sample = materialize(queries.orderBy(F.xxhash64(col(query_key), F.lit(41)), col(query_key)).limit(sampled_queries), "sampled")
         batches, cells = self._cells()
         filled = [int(c) for c in np.flatnonzero(cells.count)]
         hits = materialize(self.search(sample, k, query_key, "__hit", vector), "hits").select(col(query_key).alias("id"), "__hit")

@@ -77,3 +77,14 @@ def test_without_vectors(spark, tmp_path):
     none = spark.createDataFrame([(1, None)], "Ticket_ID int, Embedding array<double>")
     with pytest.raises(ValueError, match="no ticket"):
         VectorIndex.build(none, str(tmp_path / "index"))
+
+
+def test_probes_are_not_chosen_on_the_pivots_themselves(spark, tmp_path):
+    """Queries that are pivots find more in their own cell than the others do."""
+    x = np.random.default_rng(6).normal(size=(1200, 24))
+    index = VectorIndex.build(vectors(spark, x), str(tmp_path / "index"), per_block=4)
+    assert len(index._pivots()[0]) == 300
+    queries = vectors(spark, x, "Query_ID")
+    probes = index.probes_for(queries, 0.9, sampled_queries=300)
+    exact = top_k_similar(queries, vectors(spark, x))
+    assert recall(index.search(queries, probes=probes), exact).first()["Recall"] >= 0.87
