@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from typing import NamedTuple
 
 import numpy as np
@@ -62,18 +63,28 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
+def _packed(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending buckets and their counts, in about a quarter of the bytes that 32-bit numbers take."""
+    gaps = np.diff(buckets.astype(np.int32), prepend=np.int32(0))
+    return zlib.compress(gaps.astype("<u2").tobytes() + counts.astype("<i4").tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = zlib.decompress(raw)
+    n = len(data) // 6
+    return np.cumsum(np.frombuffer(data, "<u2", n), dtype=np.int32), np.frombuffer(data, "<i4", n, 2 * n)
+
+
 def _features(batches):
-    """Distinct subword buckets of every text with their counts."""
+    """Distinct subword buckets of every text with their counts, packed."""
     for part in slices(batches, "text_in"):
         for i, text in enumerate(part.column("text_in").to_pylist()):
             if not _has_letter(text):
                 continue
             found = [g for g, _ in _grams(*buffers(part.column("text_in").slice(i, 1)))]
             buckets, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint32), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("lang_in").slice(i, 1), pa.array([buckets.astype(np.int32)]), pa.array([counts.astype(np.int32)])],
-                names=["lang_in", "buckets", "counts"],
-            )
+            packed = pa.array([_packed(buckets, counts)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("lang_in").slice(i, 1), packed], names=["lang_in", "features"])
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -88,9 +99,11 @@ def fit_language_model(
 
     Fitted by stochastic gradient descent on a bounded sample: about ``rows``
     rows of each language, drawn by a hash of the key; the features are made
-    where the rows are and whole texts count.  A fifth of the sample is not
-    trained on: it sets the temperature of the softmax and the score below
-    which a prediction is rejected.  The same rows give the same model.
+    where the rows are and whole texts count.  One task holds the sample's
+    features and fits the model; the driver gets a count per language and the
+    model.  A fifth of the sample is not trained on: it sets the temperature
+    of the softmax and the score below which a prediction is rejected.  The
+    same rows give the same model.
     """
     ship_package(docs.sparkSession)
     labelled = docs.select(docs[key].alias("key_in"), docs[text].alias("text_in"), docs[lang].alias("lang_in")).where("lang_in IS NOT NULL")
@@ -102,17 +115,52 @@ def fit_language_model(
         cut = F.when(F.col("lang_in") == name, min(1 << 20, -(-rows * (1 << 20) // n))).otherwise(cut)
     drawn = F.coalesce(F.pmod(F.xxhash64(F.col("key_in"), F.lit(seed)), F.lit(1 << 20)), F.lit(0)) < cut
     kind = docs.schema[lang].dataType.simpleString()
-    sample = labelled.where(drawn).mapInArrow(_features, f"lang_in {kind}, buckets array<int>, counts array<int>").toPandas()
-    if not len(sample):
+    sample = labelled.where(drawn).mapInArrow(_features, f"lang_in {kind}, features binary")
+    schema = f"languages array<{kind}>, weights binary, bias binary, temperature double, threshold double"
+    fitted = sample.repartition(1).mapInArrow(_fitted(seed), schema).first()
+    if fitted is None:
         return None
-    for column in ("buckets", "counts"):
-        sample[column] = [np.asarray(x, np.int32) for x in sample[column]]
-    sample["order"] = [(str(a), b.tobytes(), c.tobytes()) for a, b, c in zip(sample["lang_in"], sample["buckets"], sample["counts"], strict=True)]
-    sample = sample.sort_values("order", ignore_index=True)
-    languages = sorted(sample["lang_in"].unique())
+    bias = np.frombuffer(bytes(fitted["bias"]), np.float32)
+    weights = np.frombuffer(bytes(fitted["weights"]), np.float32).reshape(BUCKETS, len(bias))
+    return LanguageModel(fitted["languages"], weights, bias, fitted["temperature"], fitted["threshold"])
+
+
+def _fitted(seed: int):
+    """A row with the model of all rows (lang_in, features); none without rows."""
+
+    def run(batches):
+        sample, kind = [], None
+        for batch in batches:
+            kind = batch.schema.field("lang_in").type
+            sample.extend(zip(batch.column("lang_in").to_pylist(), batch.column("features").to_pylist(), strict=True))
+        if not sample:
+            return
+        model = _fit(sample, seed)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([model.languages], pa.list_(kind)),
+                pa.array([model.weights.tobytes()], pa.binary()),
+                pa.array([model.bias.tobytes()], pa.binary()),
+                pa.array([model.temperature], pa.float64()),
+                pa.array([model.threshold], pa.float64()),
+            ],
+            names=["languages", "weights", "bias", "temperature", "threshold"],
+        )
+
+    return run
+
+
+def _fit(sample: list[tuple[str, bytes]], seed: int) -> LanguageModel:
+    """The model of rows (language, packed features), in whatever order they come."""
+
+    def place(row: tuple[str, bytes]):
+        return (str(row[0]), *(x.tobytes() for x in _unpacked(row[1])))
+
+    sample = sorted(sample, key=place)
+    languages = sorted({x for x, _ in sample})
     index = {x: i for i, x in enumerate(languages)}
-    targets = np.array([index[x] for x in sample["lang_in"]])
-    inputs = [(b, c.astype(np.float32) / max(1, int(c.sum()))) for b, c in zip(sample["buckets"], sample["counts"], strict=True)]
+    targets = np.array([index[x] for x, _ in sample])
+    inputs = [(b, c.astype(np.float32) / max(1, int(c.sum()))) for b, c in (_unpacked(x) for _, x in sample)]
 
     draw = np.random.Generator(np.random.PCG64(seed))
     order = draw.permutation(len(inputs))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from migratrace.llm import topk
 from migratrace.llm.cotrain import fit_quality_model, score_documents
-from migratrace.llm.lang_id import fit_language_model, identify
+from migratrace.llm.lang_id import BUCKETS, _packed, _unpacked, fit_language_model, identify
 from migratrace.llm.mixing import Mix, mix_documents, mix_report
 from migratrace.llm.topk import BallTree, top_inner_products
 from tests.llm.helpers import ODD, odd_table, words
@@ -99,6 +99,35 @@ def test_languages_are_learned_and_the_unreadable_is_rejected(spark):
     assert identify(df.limit(0), model).collect() == []
 
 
+def test_the_language_sample_stays_out_of_the_driver(spark, monkeypatch):
+    rows = [(i, f"{'der Hund und die Katze' if i % 2 else 'the dog and the cat'} {i}", "de" if i % 2 else "en") for i in range(300)]
+    docs = spark.createDataFrame([*rows, (300, "12 34", "en"), (301, None, "de"), (302, "no language", None)], "doc_id long, text string, lang string")
+    got = []
+
+    def counted(call):
+        def run(self, *args, **options):
+            out = call(self, *args, **options)
+            got.append(len(out))
+            return out
+
+        return run
+
+    for name in ("collect", "toPandas", "toArrow"):
+        monkeypatch.setattr(type(docs), name, counted(getattr(type(docs), name)))
+    model = fit_language_model(docs)
+    assert got and max(got) <= 2 and model.languages == ["de", "en"] and model.weights.shape == (BUCKETS, 2)
+    monkeypatch.undo()
+    found = identify(docs.where("doc_id < 300"), model).select("lang", "lang_pred").collect()
+    assert len(found) == 300 and all(r["lang"] == r["lang_pred"] for r in found)
+    assert fit_language_model(docs.where("doc_id IN (300, 301)")) is None
+
+
+def test_packed_features_are_the_features():
+    for buckets, counts in (([], []), ([0], [1]), ([BUCKETS - 1], [1 << 30]), ([0, 1, 40_000, BUCKETS - 1], [3, 70_000, 1, 2])):
+        got = _unpacked(_packed(np.array(buckets, np.uint32), np.array(counts, np.int64)))
+        assert [x.tolist() for x in got] == [buckets, counts] and all(x.dtype == np.int32 for x in got)
+
+
 def test_quality_model_separates_the_classes(spark):
     base = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
