@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from migratrace.llm.common import SLICE_BYTES, slices
 from migratrace.llm.textscan import buffers
-from migratrace.session import ship_package
+from migratrace.session import bound_batches, ship_package
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -106,6 +106,7 @@ def fit_language_model(
     same rows give the same model.
     """
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     labelled = docs.select(docs[key].alias("key_in"), docs[text].alias("text_in"), docs[lang].alias("lang_in")).where("lang_in IS NOT NULL")
     sizes = {r["lang_in"]: r["n"] for r in labelled.groupBy("lang_in").agg(F.count("*").alias("n")).collect()}
     if not sizes:
@@ -209,11 +210,12 @@ def identify(docs: DataFrame, model: LanguageModel | None, *, text: str = "text"
     model sent to the tasks has BUCKETS rows by one column per language.
     """
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "rejected")]
     schema = docs.select(*kept).schema
     out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), "lang_pred string, score double, rejected boolean"])
     wide = len(model.languages) if model else 1
-    size = max(1, SLICE_BYTES // max(1, wide // 8))
+    size = max(1, SLICE_BYTES // max(4, wide // 2))
 
     def run(batches):
         for part in slices(batches, text, size):

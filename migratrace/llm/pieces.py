@@ -17,12 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from migratrace.llm.common import slices
-from migratrace.session import ship_package
+from migratrace.llm.common import SLICE_BYTES, slices
+from migratrace.session import bound_batches, ship_package
 
 SPACE = "▁"
 #: Entries of the memo of encoded words that a task keeps at most; it is emptied beyond.
-MEMO = 200_000
+MEMO = 50_000
 #: Characters of a text that are split into words at a time.
 STRETCH = 1 << 20
 _BREAK = re.compile(r"(?<=[^ ]) ")
@@ -290,6 +290,7 @@ def encode_documents(
     its pieces at a time.
     """
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     schema = docs.select(key).schema
     order = [c.split()[0] for c in ENCODED.split(", ")]
     wanted = [c.split() for c in ENCODED.split(", ") if outputs is None or c.split()[0] in set(outputs)]
@@ -301,7 +302,7 @@ def encode_documents(
 
     def run(batches):
         codec = codec_of(model)
-        for part in slices(batches, "text_in"):
+        for part in slices(batches, "text_in", SLICE_BYTES // 4):
             rows: list[list] = [[] for _ in wanted]
             texts = [t or "" for t in part.column("text_in").to_pylist()]
             lists = codec.encode_all(texts)
