@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from migratrace.session import materialize, ship_package
+from migratrace.session import bound_batches, materialize, ship_package
 
 #: Distinct vectors of a shard, about, and queries of a block at most.
 SHARD_ROWS = 4096
 BLOCK_ROWS = 1024
 LEAF_ROWS = 64
+#: Shards whose trees a task holds at once, about.
+TASK_SHARDS = 16
 #: A vector is taken as float64 where that is exact for its inner products.
 _EXACT = float(1 << 53)
 
@@ -121,14 +123,17 @@ def top_inner_products(
     Equal vectors are one candidate with their k + 1 smallest keys, which is
     all a query can need, so a vector that a third of the rows share weighs
     nothing.  Candidates are dealt to shards of about SHARD_ROWS by their first
-    components' place among fixed directions, so that shards are compact; each
-    builds one tree.  A query first searches its own shard; the k-th score found
-    there is the floor of its search in all others.  Queries meet shards in
-    blocks of BLOCK_ROWS: exact search needs every query at every shard, and
-    only k rows of each leave it.
+    components' place among fixed directions, so that shards are compact.  A
+    query first searches its own shard; the k-th score found there is the floor
+    of its search in all others.  A task builds the trees of its shards once,
+    then the queries come to it in blocks of BLOCK_ROWS: exact search needs every
+    query at every shard, and only k rows of each query leave a task.  Shards and blocks
+    are dealt to tasks as rows of one table: no join that could be planned
+    as a broadcast sees a vector.
     """
     spark = candidates.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     base = quantise(candidates, key=key, vector=vector).distinct()
     nth = F.row_number().over(W.partitionBy("dims", "v").orderBy("id"))
     ranked = base.withColumn("nth", nth).where(F.col("nth") <= k + 1)
@@ -158,26 +163,34 @@ def top_inner_products(
     item = F.struct("ids", "v")
     shards = materialize(split.groupBy("dims", "cell", "part").agg(F.collect_list(item).alias("items")), "shards")
 
+    number = int(crowd.agg(F.coalesce(F.sum("parts"), F.lit(0)).alias("n")).first()["n"])
+    tasks = max(1, min(number, 4 * spark.sparkContext.defaultParallelism), -(-number // TASK_SHARDS))
+    task = F.pmod(F.col("dims") + F.col("cell") + F.col("part"), F.lit(tasks)).cast("int")
+    columns = ("task", "dims", "cell", "part", "items", "asked")
+    trees = shards.withColumns({"task": task, "asked": F.lit(None)}).select(*columns)
+
+    def searched(blocks: DataFrame, at_home: bool) -> DataFrame:
+        """What the blocks (task, dims, cell, part, asked) find in the shards of their task."""
+        both = trees.unionByName(blocks.withColumn("items", F.lit(None)).select(*columns))
+        # a task's shards first
+        dealt = both.repartitionById(tasks, F.col("task")).sortWithinPartitions(F.col("items").isNull())
+        return dealt.drop("task").mapInArrow(_answers(k, at_home), "query_id long, vec_id long, score long")
+
     homed = shard(asked).join(crowd, ["dims", "cell"], "left")
     homed = homed.withColumn("part", F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")), F.lit(-1)))
     blocks = max(1, -(-asked.count() // BLOCK_ROWS))
     homed = homed.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
     question = F.struct("id", "v", F.lit(None).cast("long").alias("floor"), "cell", "part")
-    near = homed.groupBy("dims", "cell", "part", "block").agg(F.collect_list(question).alias("asked"))
-    out = "query_id long, vec_id long, score long"
-    pairs = near.join(shards, ["dims", "cell", "part"]).select("dims", "cell", "part", "items", "asked")
-    home = materialize(pairs.mapInArrow(_answers(k, at_home=True), out).transform(_best(k)), "home")
+    near = homed.where("part >= 0").groupBy("dims", "cell", "part", "block").agg(F.collect_list(question).alias("asked"))
+    home = materialize(searched(near.withColumn("task", task), at_home=True).transform(_best(k)), "home")
 
     floors = home.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor")).where(F.col("n") >= k)
     known = homed.join(floors.select(F.col("query_id").alias("id"), "floor"), "id", "left")
     question = F.struct("id", "v", "floor", "cell", "part")
     far = known.groupBy("dims", "block").agg(F.collect_list(question).alias("asked"))
-    # every block meets every shard: one bucket per shard, dealt by hash
-    buckets = max(1, shards.count())
-    far = far.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    dealt = shards.withColumn("bucket", F.pmod(F.xxhash64("cell", "part"), F.lit(buckets)).cast("int"))
-    pairs = far.join(dealt, ["dims", "bucket"]).select("dims", "cell", "part", "items", "asked")
-    rest = pairs.mapInArrow(_answers(k, at_home=False), out)
+    every = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task")
+    far = far.select("dims", F.lit(None).alias("cell"), F.lit(None).alias("part"), "asked", every)
+    rest = searched(far, at_home=False)
     best = home.select("query_id", "vec_id", "score").unionByName(rest).transform(_best(k))
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(key), "score")
 
@@ -193,29 +206,52 @@ def _best(k: int):
     return lambda found: run(found.select("query_id", "vec_id", "score"))
 
 
+class _Shard:
+    """The tree of a shard, and the keys of its vectors in tree order."""
+
+    def __init__(self, cell: int, part: int, vectors: np.ndarray, keys: list[list[int]]):
+        self.place, self.tree = (cell, part), BallTree(vectors)
+        keys = [keys[j] for j in self.tree.order]
+        self.ids = np.array([x[0] for x in keys])
+        self.equal = {x[0]: x for x in keys}
+
+    def best(self, query: int, v: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
+        """The k best (-score, key) besides the query itself, the best first."""
+        # k vectors besides the query's own hold the k best; each stands for its smallest keys
+        found = [(-s, key) for s, one in self.tree.search(v, self.ids, k + 1, floor) for key in self.equal[one] if key != query]
+        return sorted(found)[:k]
+
+
+def _vectors(items: pa.Array, dims: int) -> np.ndarray:
+    return items.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(items), dims)
+
+
 def _answers(k: int, at_home: bool):
-    """The k best of one shard for each query of a block; away from home only for queries of other shards."""
+    """The k best of a task's shards for each query of its blocks: of the query's own shard, or of all others.
+
+    The shards come first.  What the k best so far reach is the floor in the next shard.
+    """
 
     def run(batches):
+        shards: dict[int, list[_Shard]] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 dims, cell, part = (batch.column(c)[i].as_py() for c in range(3))
-                items, asked = batch.column(3)[i].values, batch.column(4)[i].values
-                vectors = items.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(items), dims)
-                wanted = asked.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(asked), dims)
-                tree = BallTree(vectors)
-                keys = items.field("ids").to_pylist()
-                keys = [keys[j] for j in tree.order]
-                ids = np.array([x[0] for x in keys])
-                equal = {x[0]: x for x in keys}
+                items, asked = batch.column(3)[i], batch.column(4)[i]
+                if items.is_valid:
+                    shards.setdefault(dims, []).append(_Shard(cell, part, _vectors(items.values, dims), items.values.field("ids").to_pylist()))
+                    continue
+                asked = asked.values
                 rows: list[tuple[int, int, int]] = []
                 questions = zip(*(asked.field(f).to_pylist() for f in ("id", "floor", "cell", "part")), strict=True)
-                for v, (query, floor, own_cell, own_part) in zip(wanted, questions, strict=True):
-                    if not at_home and (own_cell, own_part) == (cell, part):
-                        continue
-                    # k vectors besides the query's own hold the k best; each stands for its smallest keys
-                    full = [(-s, key) for s, one in tree.search(v, ids, k + 1, floor) for key in equal[one] if key != query]
-                    rows.extend((query, key, -s) for s, key in sorted(full)[:k])
+                for v, (query, floor, *own) in zip(_vectors(asked, dims), questions, strict=True):
+                    best: list[tuple[int, int]] = []
+                    for shard in shards.get(dims, ()):
+                        if (shard.place == tuple(own)) == at_home:
+                            best = sorted(best + shard.best(query, v, k, floor))[:k]
+                            if len(best) == k:
+                                floor = -best[-1][0] if floor is None else max(floor, -best[-1][0])
+                    rows.extend((query, key, -s) for s, key in best)
                 columns = zip(*rows, strict=True) if rows else ([], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 

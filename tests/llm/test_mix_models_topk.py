@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +180,38 @@ def test_top_k_is_exact_with_ties_copies_and_broken_vectors(spark, monkeypatch):
     assert top_inner_products(df.limit(0), df.limit(0)).collect() == []
 
 
+def test_top_k_broadcasts_no_vectors(spark, monkeypatch):
+    for name, value in (("SHARD_ROWS", 40), ("BLOCK_ROWS", 7)):
+        monkeypatch.setattr(topk, name, value)
+    draw = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, draw.normal(0, 0.1, 8).tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    found = top_inner_products(df.where("vec_id % 5 = 0"), df)
+    assert found.count() == 300
+    found.collect()
+    plan = found._jdf.queryExecution().explainString(found._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = [part for part in plan.split("\n\n") if "BroadcastExchange" in part.split("\n")[0]]
+    assert not [part for part in sent if "asked" in part or "items" in part]
+
+
+def test_a_task_builds_each_tree_once_and_raises_the_floor(monkeypatch):
+    built, floors, tree = [], [], topk.BallTree
+    monkeypatch.setattr(topk, "BallTree", lambda v: built.append(len(v)) or tree(v))
+    search = tree.search
+    monkeypatch.setattr(tree, "search", lambda self, q, ids, k, floor: floors.append(floor) or search(self, q, ids, k, floor))
+    draw = np.random.default_rng(7)
+    v = draw.integers(-50, 50, (120, 4)).tolist()
+    item = pa.list_(pa.struct([("ids", pa.list_(pa.int64())), ("v", pa.list_(pa.int64()))]))
+    question = pa.list_(pa.struct([("id", pa.int64()), ("v", pa.list_(pa.int64())), ("floor", pa.int64()), ("cell", pa.int64()), ("part", pa.int64())]))
+    schema = pa.schema([("dims", pa.int32()), ("cell", pa.int32()), ("part", pa.int64()), ("items", item), ("asked", question)])
+    rows = [{"dims": 4, "cell": c, "part": 0, "items": [{"ids": [i], "v": v[i]} for i in range(40 * c, 40 * c + 40)]} for c in range(3)]
+    rows += [{"dims": 4, "asked": [{"id": i, "v": v[i], "cell": 9, "part": 0} for i in range(b, 120, 4)]} for b in range(4)]
+    got = [tuple(r.values()) for b in topk._answers(3, at_home=False)(pa.RecordBatch.from_pylist([r], schema) for r in rows) for r in b.to_pylist()]
+    want = {(q, c, sum(a * b for a, b in zip(v[q], v[c], strict=True))) for q in range(120) for c in range(120) if c != q}
+    best = [r for q in range(120) for r in sorted((w for w in want if w[0] == q), key=lambda w: (-w[2], w[1]))[:3]]
+    assert sorted(got) == sorted(best)
+    assert built == [40, 40, 40] and sum(f is None for f in floors) == 120 and len(floors) == 360
+
+
 def test_ball_tree_search_with_large_components():
     draw = np.random.default_rng(6)
     v = draw.integers(-(1 << 27), 1 << 27, (500, 4))
