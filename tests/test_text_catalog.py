@@ -11,7 +11,7 @@ from migratrace.functions.text import STOP_WORDS, clean_text, error_codes
 from migratrace.operators.catalog import build_catalog, cluster_cohesion, cluster_keywords, primary_domains
 from migratrace.operators.embed import embed, hashed_embedding
 from migratrace.operators.quantiles import exact_median
-from migratrace.operators.terms import Summary, count_terms, frequent_candidates, vocabulary_counts
+from migratrace.operators.terms import Summary, count_terms, counters_that_matter, frequent_candidates, vocabulary_counts
 from migratrace.operators.textprep import lemmatize, prepare_text
 
 
@@ -123,6 +123,26 @@ def test_vocabulary_from_summaries_is_exact(spark):
     assert vocabulary_counts(empty[0], frequent_candidates(*empty, 8), 8)[0].count() == 0
 
 
+def test_few_counters_are_sent_and_texts_are_kept_as_texts(spark):
+    """Rare terms of a task never leave it; candidates that go to every task and those that are joined count alike."""
+    rng = random.Random(9)
+    rows = [(c, " ".join(rng.choices([f"w{min(int(rng.expovariate(0.3)), 20)}", f"rare{i}x{c}"], (9, 1))[0] for _ in range(20))) for i in range(300) for c in (1, 2)]
+    rows += [(1, ""), (2, None), (3, ""), (4, "alone")]
+    uses = Counter((c, t) for c, text in rows for w in [text.split() if text else []] for t in w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    want = {(c, t): uses[c, t] for k in (1, 2, 4) for c, t in sorted((x for x in uses if x[0] == k), key=lambda x: (-uses[x], x[1]))[:6]}
+    texts, lows, sizes = count_terms(spark.createDataFrame(rows, "cluster int, words string").repartition(4))
+    assert texts.columns == ["cluster", "row", "words"]
+    assert {(r["cluster"], r["n"]) for r in sizes.collect()} == {(1, 301), (2, 301), (3, 1), (4, 1)}
+    sent, bounds = counters_that_matter(lows, sizes, 6)
+    assert sent.count() < lows.count() / 10 and bounds.where("least > 1").count() == 2
+    candidates = frequent_candidates(texts, lows, sizes, 6)
+    assert candidates.count() < 60
+    for shipped in (100, 0):
+        kept, hits = vocabulary_counts(texts, candidates, 6, shipped)
+        assert {(r["cluster"], r["term"]): r["uses"] for r in kept.collect()} == want
+        assert hits.groupBy("row", "t").count().where("count > 1").count() == 0
+
+
 def test_cohesion_equals_pairwise_mean(spark):
     rng = np.random.default_rng(0)
     groups = {0: rng.normal(size=(12, 6)), 1: rng.normal(size=(1, 6)), 2: np.vstack([np.zeros((1, 6)), rng.normal(size=(4, 6))])}
