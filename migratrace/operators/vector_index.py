@@ -42,6 +42,8 @@ class VectorIndex:
 
     def __init__(self, spark: SparkSession, folder: str, per_block: int = ROWS_PER_BLOCK):
         self.spark, self.folder, self.per_block = spark, folder.rstrip("/"), per_block
+        self._batches: dict[str, DataFrame] = {}
+        self._stored: tuple[tuple, tuple[DataFrame, Cells]] | None = None
 
     @classmethod
     def build(
@@ -102,8 +104,11 @@ class VectorIndex:
         """The stored vectors of some cells; the folders of the others are not read."""
         kind = self.spark.read.parquet(f"{self.folder}/pivots").schema["id"].dataType.simpleString()
         schema = f"id {kind}, vec array<double>, reach double, cell int"
-        paths = [f"{self.folder}/rows/batch={b}" for b in batches]
-        parts = [self.spark.read.schema(schema).parquet(p) for p in paths]
+        # a finished batch does not change: its folders, one per cell, are listed once
+        for b in batches:
+            if b not in self._batches:
+                self._batches[b] = self.spark.read.schema(schema).parquet(f"{self.folder}/rows/batch={b}")
+        parts = [self._batches[b] for b in batches]
         stored = parts[0]
         for part in parts[1:]:
             stored = stored.unionByName(part)
@@ -129,17 +134,27 @@ class VectorIndex:
         batches, cells = self._cells()
         asked = lifted_vectors(queries, query_key, vector, True)
         placed, asked_cells = describe_cells(to_cells(asked, cells.pivots), cells.pivots, cells.pivot_ids, self.per_block)
-        pairs = cells_within_reach(asked_cells, cells, k) if probes is None else _probed_pairs(placed, cells, probes)
-        stored = self.rows_of(batches, sorted({int(c) for c in pairs[:, 1]}))
-        # of equal vectors only the k smallest keys can be among the k nearest
-        among_copies = F.row_number().over(Window.partitionBy("cell", "vec").orderBy("id"))
-        stored = stored.withColumn("__copy", among_copies).where(F.col("__copy") <= k).drop("__copy")
-        stored, stored_cells = describe_cells(materialize(stored, "stored"), cells.pivots, cells.pivot_ids, self.per_block)
-        found = nearest_in_blocks(placed, asked_cells, stored, stored_cells, k, cosine=True, pairs=pairs, probes=probes, per_block=self.per_block)
+        if probes is None:
+            pairs = cells_within_reach(asked_cells, cells, k)
+        else:
+            placed = _opened(placed, cells, probes)
+            pairs = _opened_pairs(placed, len(cells.pivots))
+        stored, stored_cells = self._first_copies(batches, sorted({int(c) for c in pairs[:, 1]}), cells, k)
+        opened = probes is not None
+        found = nearest_in_blocks(placed, asked_cells, stored, stored_cells, k, cosine=True, pairs=pairs, opened=opened, per_block=self.per_block)
         return found.select(
             F.col("id").alias(query_key), F.col("other").alias(key), (-F.col("distance")).alias("Similarity"), F.col("rank").cast("int").alias("Rank")
         )
 
+    def _first_copies(self, batches: list[str], wanted: list[int], cells: Cells, k: int) -> tuple[DataFrame, Cells]:
+        """The vectors of the cells: of equal ones only the k smallest keys can be among the k nearest.  Those of the last search are kept."""
+        key = (tuple(batches), tuple(wanted), k)
+        if self._stored is None or self._stored[0] != key:
+            among_copies = F.row_number().over(Window.partitionBy("cell", "vec").orderBy("id"))
+            stored = self.rows_of(batches, wanted).withColumn("__copy", among_copies).where(F.col("__copy") <= k).drop("__copy")
+            self._stored = key, describe_cells(materialize(stored, "stored"), cells.pivots, cells.pivot_ids, self.per_block)
+        return self._stored[1]
+
     def probes_for(
         self,
         queries: DataFrame,
@@ -160,49 +175,62 @@ class VectorIndex:
         filled = [int(c) for c in np.flatnonzero(cells.count)]
         hits = materialize(self.search(sample, k, query_key, "__hit", vector), "hits").select(col(query_key).alias("id"), "__hit")
         placed = hits.join(self.rows_of(batches, filled).select(F.col("id").alias("__hit"), "cell"), "__hit")
-        order = _nearest_cells(lifted_vectors(sample, query_key, vector, True), cells)
-        found = placed.join(order, ["id", "cell"]).groupBy("turn").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per cell at most
+        hit = placed.groupBy("id").agg(F.collect_list("cell").alias("hit"))
+        turns = _turns(lifted_vectors(sample, query_key, vector, True).join(hit, "id"), cells)
+        found = turns.groupBy("turn").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per cell at most
         count = np.zeros(len(filled) + 1)
         for r in found:
             count[r["turn"]] = r["n"]
         return int(np.argmax(np.cumsum(count) >= target * count.sum())) or 1
 
 
-def _probed_pairs(placed: DataFrame, cells: Cells, probes: int) -> np.ndarray:
-    """The pairs of a query's own cell and one of its ``probes`` nearest cells that hold tickets."""
+def _opened(placed: DataFrame, cells: Cells, probes: int) -> DataFrame:
+    """The queries with a bit per cell (``open``), set for the ``probes`` nearest cells that hold tickets; written once."""
     shared = placed.sparkSession.sparkContext.broadcast((cells.pivots, np.flatnonzero(cells.count)))
 
     def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivots, filled = shared.value
+        for batch in batches:
+            if len(batch):
+                open_ = np.zeros((len(batch), len(pivots)), dtype=bool)
+                np.put_along_axis(open_, nearest_cells(matrix(batch["vec"]), pivots, filled, probes), True, axis=1)
+                yield batch.assign(open=[row.tobytes() for row in np.packbits(open_, axis=1)])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
+    return materialize(placed.mapInPandas(marked, f"{schema}, open binary"), "opened")
+
+
+def _opened_pairs(opened: DataFrame, cells: int) -> np.ndarray:
+    """The pairs of a query's own cell and one that is open to it."""
+
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[int, np.ndarray] = {}
         for batch in batches:
-            if not len(batch):
-                continue
-            best = nearest_cells(matrix(batch["vec"]), pivots, filled, probes)
-            for own, rows in batch.reset_index(drop=True).groupby("cell").indices.items():
-                seen.setdefault(int(own), np.zeros(len(pivots), dtype=bool))[best[rows].ravel()] = True
-        yield pd.DataFrame({"cell": list(seen), "marks": [np.packbits(m).tobytes() for m in seen.values()]})
-
-    met = np.zeros((len(cells.pivots), len(cells.pivots)), dtype=bool)
-    for r in placed.select("vec", "cell").mapInPandas(marked, "cell int, marks binary").toLocalIterator():  # a bit per cell, for each cell of a task
-        met[r["cell"]] |= np.unpackbits(np.frombuffer(r["marks"], np.uint8), count=met.shape[1]).astype(bool)
+            for own, bits in zip(batch["cell"], batch["open"], strict=True):
+                bits = np.frombuffer(bits, np.uint8)
+                seen[own] = seen[own] | bits if own in seen else bits
+        yield pd.DataFrame({"cell": list(seen), "marks": [m.tobytes() for m in seen.values()]})
+
+    met = np.zeros((cells, cells), dtype=bool)
+    for r in opened.select("cell", "open").mapInPandas(marked, "cell int, marks binary").toLocalIterator():  # a bit per cell, for each cell of a task
+        met[r["cell"]] |= np.unpackbits(np.frombuffer(r["marks"], np.uint8), count=cells).astype(bool)
     return np.argwhere(met)
 
 
-def _nearest_cells(asked: DataFrame, cells: Cells) -> DataFrame:
-    """A row per query and each cell that holds tickets, without the vector; ``turn`` counts them from 1, nearest first."""
+def _turns(asked: DataFrame, cells: Cells) -> DataFrame:
+    """A row per query and cell of its list ``hit``: the cell's ``turn`` among those that hold tickets, counted from 1, nearest first."""
     shared = asked.sparkSession.sparkContext.broadcast((cells.pivots, np.flatnonzero(cells.count)))
 
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivots, filled = shared.value
         for batch in batches:
             if len(batch):
                 best = nearest_cells(matrix(batch["vec"]), pivots, filled, len(filled))
-                turn = np.tile(np.arange(1, best.shape[1] + 1, dtype=np.int32), len(batch))
-                yield pd.DataFrame({"id": np.repeat(batch["id"].to_numpy(), best.shape[1]), "cell": best.ravel().astype(np.int32), "turn": turn})
+                order = np.zeros((len(batch), len(pivots)), dtype=np.int32)
+                np.put_along_axis(order, best, np.arange(1, len(filled) + 1, dtype=np.int32)[None], axis=1)
+                yield pd.DataFrame({"turn": np.concatenate([row[hit] for row, hit in zip(order, batch["hit"], strict=True)])})
 
-    kind = asked.schema["id"].dataType.simpleString()
-    return materialize(asked.mapInPandas(nearest, f"id {kind}, cell int, turn int"), "probes")
+    return asked.select("vec", "hit").mapInPandas(turn, "turn int")
 
 
 def recall(found: DataFrame, exact: DataFrame, query_key: str = "Query_ID", key: str = "Ticket_ID") -> DataFrame:

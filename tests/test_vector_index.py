@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from migratrace.operators import vector_index
 from migratrace.operators.retrieve import top_k_similar
 from migratrace.operators.vector_index import VectorIndex, recall
 
@@ -73,6 +74,21 @@ def test_probes_reach_the_recall_they_were_chosen_for(spark, tmp_path, points):
     assert 1 <= probes < len(index._pivots()[0])
 
 
+def test_probes_are_counted_over_hits_and_the_stored_vectors_are_read_once(spark, tmp_path, monkeypatch, points):
+    queries = vectors(spark, points, "Query_ID")
+    index = VectorIndex.build(vectors(spark, points[:150]), str(tmp_path / "index"), per_block=16)
+    index.append(vectors(spark, points[150:], first=150))
+    counted, turns, written, write = [], vector_index._turns, [], vector_index.materialize
+    monkeypatch.setattr(vector_index, "_turns", lambda *args: counted.append(turns(*args)) or counted[-1])
+    monkeypatch.setattr(vector_index, "materialize", lambda df, label="step": written.append(label) or write(df, label))
+    probes = index.probes_for(queries, 0.95, k=3)
+    # a row per hit, not one per query and cell
+    assert counted[0].count() == 3 * len(points)
+    assert len(index._batches) == 2
+    index.search(queries, 3, probes=probes).collect()
+    assert written.count("stored") == 1
+
+
 def test_without_vectors(spark, tmp_path):
     none = spark.createDataFrame([(1, None)], "Ticket_ID int, Embedding array<double>")
     with pytest.raises(ValueError, match="no ticket"):
